@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import quality_rules, secret_scan
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
     "op6_quality_rules": quality_rules.op6_quality_rules,
 }
 
