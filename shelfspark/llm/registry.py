@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import quality_rules, secret_scan
+from . import quality_rules, secret_scan, warc
 
 QUERIES = {
+    "op7_warc": warc.op7_warc,
     "op1_secret_scan": secret_scan.op1_secret_scan,
     "op6_quality_rules": quality_rules.op6_quality_rules,
 }
 
 ORACLES = {
+    "op7_warc": warc.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
 }
