@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, quality_rules, secret_scan, warc
+from . import bpe, quality_rules, secret_scan, token_files, warc
 
 QUERIES = {
+    "op9_token_files": token_files.op9_token_files,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op7_warc": warc.op7_warc,
     "op1_secret_scan": secret_scan.op1_secret_scan,
