@@ -94,3 +94,19 @@ def shingles(offsets: np.ndarray, words: np.ndarray, k: int = 5) -> tuple[np.nda
     for j in range(k):
         h = h * _M1 + np.where(j < room, padded[starts + j], np.uint64(j))
     return out, mixed(h)
+
+
+def distinct_sorted(offsets: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct items in ascending order; works in place on ``items``."""
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        items[a:b].sort()
+    new = np.ones(len(items), bool)
+    new[1:] = items[1:] != items[:-1]
+    new[offsets[:-1][offsets[:-1] < len(items)]] = True
+    return np.concatenate([[0], np.cumsum(new)])[offsets], items[new]
+
+
+def sums(offsets: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """The sum of each text's items, 0 for none, modulo 2**64."""
+    total = np.concatenate([np.zeros(1, items.dtype), np.cumsum(items, dtype=items.dtype)])
+    return total[offsets[1:]] - total[offsets[:-1]]
