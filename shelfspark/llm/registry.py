@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard_join, line_dedup, quality_rules, secret_scan, token_files, warc
+from . import bpe, decontaminate, jaccard_join, line_dedup, quality_rules, secret_scan, token_files, warc
 
 QUERIES = {
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op9_token_files": token_files.op9_token_files,
