@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,3 +46,16 @@ def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 def doc_key() -> Column:
     """A document's key: its number with its text, so that repeated numbers stay apart."""
     return F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once an application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.join(tempfile.mkdtemp(prefix="spark-ship-"), os.path.basename(package))
+        context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package)))
+        _SHIPPED.add(context.applicationId)

@@ -207,10 +207,12 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     texts = source.select("text")
     keys = texts.mapInArrow(_prefixes(*_common(signed)), "key long, node long, n int, pos int")
     keys = saved(shared(keys).dropDuplicates(["key", "node"]), "prefix-keys")
-    sets = texts.mapInArrow(_wanted_sets(_bits(keys.select("node").distinct())), "node long, items binary")
-    sets = saved(sets.groupBy("node").agg(F.first("items").alias("items")), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        # Only the sets of these pairs are built again and moved.
+        bits = _bits(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        sets = texts.mapInArrow(_wanted_sets(bits), "node long, items binary")
+        sets = sets.groupBy("node").agg(F.first("items").alias("items"))
         full = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
         full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
         return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "links")

@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from . import bpe, decontaminate, jaccard_join, line_dedup, quality_rules, secret_scan, token_files, warc
+from .common import ship
 
-QUERIES = {
+
+def _shipped(query):
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ALL = {
     "op5_decontamination": decontaminate.op5_decontamination,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
@@ -15,6 +25,8 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
 }
 
+QUERIES = {name: _shipped(query) for name, query in _ALL.items()}
+
 ORACLES = {
     "op7_warc": warc.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
