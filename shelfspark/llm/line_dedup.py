@@ -2,7 +2,7 @@ r"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line a gr
 
 Lines (cut at \n) are normalised: lower case, words without signs at their ends, one
 blank between. Equal normalised lines are one node. Two nodes link when their 64-bit
-SimHashes over words differ in at most three bits and their edit similarity
+SimHashes over word pairs differ in at most three bits and their edit similarity
 (1 - Levenshtein distance / longer length, in characters) is at least 0.9. With b blocks of bits,
 three changed bits leave b - 3 blocks alone, so every choice of b - 3 blocks is a key;
 b grows with the number of different lines so that chance meets stay rare, which
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, saved
 from .linking import link, shared
-from .words import drop_empty, hash_strings, mixed, offsets_of, slices, sums
+from .words import drop_empty, hash_strings, mixed, offsets_of, shingles, slices, sums
 
 #: Least edit similarity of linked lines, and most differing bits of their SimHashes.
 SIMILARITY, BITS = 0.9, 3
@@ -55,7 +55,10 @@ def _numbers(offsets: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarr
     n = np.diff(offsets)
     place = np.arange(len(h), dtype=np.int64) - np.repeat(offsets[:-1], n)
     node = mixed(sums(offsets, mixed(h + mixed(place.astype(np.uint64)))) + n.astype(np.uint64))
-    # Eight counters fit in one 64-bit number as long as no part of a line has over 255 words.
+    # Pairs of words, for single words that all lines share would make long lines alike.
+    offsets, h = shingles(offsets, h, 2)
+    n = np.diff(offsets)
+    # Eight counters fit in one 64-bit number as long as no part of a line has over 255 pairs.
     parts = np.maximum(1, (n + 254) // 255)
     first = np.cumsum(parts) - parts
     cuts = np.repeat(offsets[:-1], parts) + 255 * (np.arange(parts.sum()) - np.repeat(first, parts))

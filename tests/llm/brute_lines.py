@@ -2,6 +2,7 @@
 
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 
 from shelfspark.llm import line_dedup as L
@@ -21,9 +22,10 @@ def normal(line):
 
 
 def simhash(line):
-    words = line.split()
-    hashes = L.hash_strings(pa.array(words)).tolist()
-    return sum((2 * sum(h >> k & 1 for h in hashes) > len(words)) << k for k in range(64))
+    words = L.hash_strings(pa.array(line.split()))
+    _, hashes = L.shingles(np.array([0, len(words)]), words, 2)
+    hashes = hashes.tolist()
+    return sum((2 * sum(h >> k & 1 for h in hashes) > len(hashes)) << k for k in range(64))
 
 
 def dedup(rows):
