@@ -132,13 +132,12 @@ def quality_rules(docs: DataFrame, host: str = "source", host_limit: float = HOS
 def keep_good(docs: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
     """The documents that pass, with all their columns.
 
-    The verdict of the base rules is worked out where the text lies, once for the
-    host counts and once for the filter, so that no text is shuffled.
+    Documents are saved once next to their base verdict, so that the measures are worked
+    out once and no text is shuffled.
     """
-    rates = host_rates(saved(measure(docs, host), "quality"), host)
     again = docs.withColumn("__doc", F.struct(*docs.columns))
-    rows = measure(again, host, "__doc")
-    kept = with_host_verdicts(rows.select("__doc", host, "base_failed"), rates, host, host_limit)
+    rows = saved(measure(again, host, "__doc").select("__doc", host, "base_failed"), "quality")
+    kept = with_host_verdicts(rows, host_rates(rows.select(host, "base_failed"), host), host, host_limit)
     return kept.where("kept").select("__doc.*")
 
 
