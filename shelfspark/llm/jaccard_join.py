@@ -5,7 +5,7 @@ equal sets are one class, and classes link at a Jaccard similarity of 0.75. Shin
 are ordered by how common they are (rarest first; the common ones are counted, all
 others tie at zero and go by hash), and each class gives its first
 n - ceil(0.75 n) + 1 shingles as keys: linked classes share one. Pairs under a key pass
-a length filter and a positional filter, become distinct, pass a suffix filter on the
+a length filter, a positional filter and a filter on how many keys anyone shares, become distinct, pass a suffix filter on the
 sorted sets and are then counted exactly, once a pair.
 
 The table of common shingles is a broadcast of at most MOST_COMMON rows whatever the
@@ -116,15 +116,23 @@ def _prefixes(common: np.ndarray, counts: np.ndarray):
                 hit = sums(offsets, (rank > 0).astype(np.int64)) > 0
                 for i in np.flatnonzero(hit & fresh):
                     a, b = offsets[i], offsets[i + 1]
-                    items[a:b] = items[a:b][np.argsort(rank[a:b], kind="stable")]
+                    order = np.argsort(rank[a:b], kind="stable")
+                    items[a:b], rank[a:b] = items[a:b][order], rank[a:b][order]
             n = np.diff(offsets)
             p = np.where(fresh & (n > 0), n - (3 * n + 3) // 4 + 1, 0)
             ends = np.cumsum(p)
             pos = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - p, p)
             keys = items[np.repeat(offsets[:-1], p) + pos]
+            # Where the prefix ends in the order of all shingles, coarsely: how common, then the top of the hash.
+            last = np.maximum(offsets[:-1] + p - 1, 0)[p > 0]
+            end = np.zeros(len(p), np.int32)
+            common_there = rank[last] if len(common) else np.zeros(len(last), np.int64)
+            # Beyond what the number can hold all places are one, and prefixes that end there count as tied.
+            top = np.where(common_there < 32767, (items[last] >> np.uint64(48)).astype(np.int64), 0)
+            end[p > 0] = np.minimum(common_there, 32767) << 16 | top
             yield pa.RecordBatch.from_arrays(
-                [_signed(keys), _signed(np.repeat(classes, p)), pa.array(np.repeat(n, p).astype(np.int32)), pa.array(pos.astype(np.int32))],
-                names=["key", "node", "n", "pos"],
+                [_signed(keys), _signed(np.repeat(classes, p)), *(pa.array(np.repeat(x, p).astype(np.int32)) for x in (n, end)), pa.array(pos.astype(np.int32))],
+                names=["key", "node", "n", "end", "pos"],
             )
 
     return run
@@ -196,7 +204,13 @@ def _may(x, y):
     """Length filter, and the positional filter at a shared key: what both have from there on must suffice."""
     room = 1 + F.least(x("n") - x("pos") - 1, y("n") - y("pos") - 1)
     # At the first key that two linked classes share nothing before it counts, so the room bounds their shared items.
-    return (4 * x("n") >= 3 * y("n")) & (4 * y("n") >= 3 * x("n")) & (175 * room >= 75 * (x("n") + y("n")))
+    # The prefix that ends first holds all that both share up to there, so only its keys that some
+    # other class has too, and what comes after it, can be shared.
+    most = (
+        F.when(x("end") < y("end"), x("most")).when(x("end") > y("end"), y("most")).otherwise(F.greatest(x("most"), y("most")))
+    )
+    least = 75 * (x("n") + y("n"))
+    return (4 * x("n") >= 3 * y("n")) & (4 * y("n") >= 3 * x("n")) & (175 * room >= least) & (175 * most >= least)
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -205,8 +219,12 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     signed = saved(source.mapInArrow(_sign, "kind int, doc_id long, node long, n long"), "signatures")
     rows = signed.where("kind = 0").select("doc_id", "node", "n")
     texts = source.select("text")
-    keys = texts.mapInArrow(_prefixes(*_common(signed)), "key long, node long, n int, pos int")
-    keys = saved(shared(keys).dropDuplicates(["key", "node"]), "prefix-keys")
+    keys = texts.mapInArrow(_prefixes(*_common(signed)), "key long, node long, n int, end int, pos int")
+    keys = saved(shared(keys).dropDuplicates(["key", "node"]), "shared-keys")
+    held = keys.groupBy("node").agg(F.count("*").cast("int").alias("held"))
+    # The most shingles that a class can share: its shared keys and all beyond its prefix.
+    after = F.floor((3 * F.col("n") + 3) / 4).cast("int") - 1
+    keys = saved(keys.join(held, "node").withColumn("most", F.col("held") + after).drop("held"), "prefix-keys")
 
     def verify(pairs: DataFrame) -> DataFrame:
         # Only the sets of these pairs are built again and moved.
@@ -217,7 +235,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
         return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "links")
 
-    roots = link(keys, ["n"], _may, verify)
+    roots = link(keys, ["n"], "most", _may, verify)
     classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     named = classes.join(roots, "node", "left").where("copies > 1 or root is not null")
     named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "classes")

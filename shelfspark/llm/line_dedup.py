@@ -204,7 +204,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
         return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
 
-    roots = link(keys, ["sim"], may, verify)
+    roots = link(keys, ["sim"], "sim", may, verify)
     named = nodes.join(roots, "node", "left").where("copies > 1 or root is not null")
     named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "line-groups")
     firsts = named.groupBy("root").agg(F.min("first").alias("keep"))

@@ -1,9 +1,9 @@
 """Groups from links: connected components, and candidate pairs without all pairs of a group.
 
 Rows (key, node, ...) say that a node has a key; nodes that share a key may be linked.
-``link`` first tests each node against the one before it under each key only, in an
-order that puts like nodes side by side, and joins what is linked into components.
-Then every pair under a key whose nodes are still in different components is tested.
+``link`` first tests each node against two others under each key only, the one before
+it in an order that puts like nodes side by side and the weightiest one, and joins
+what is linked into components. Then every pair under a key whose nodes are still in different components is tested.
 No pair that could join two components is left out, and a large group of copies costs
 a chain, not the square of its size.
 """
@@ -66,19 +66,22 @@ def shared(rows: DataFrame) -> DataFrame:
 def link(
     rows: DataFrame,
     order: list[str],
+    weight: str,
     may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """node and root of every linked node.
 
     rows: a saved table (key, node, ...) of shared keys. order: columns that put like nodes
-    side by side. may(x, y): a filter on two rows of a key, x before y in this order; x and y give a
+    side by side. weight: column whose largest value makes a key's hub. may(x, y): a filter on two rows of a key, x before y in this order; x and y give a
     column by name. verify: keeps the linked ones of distinct pairs (a, b).
     """
     held = rows.select("key", F.struct(*[c for c in rows.columns if c != "key"]).alias("y"))
     cols = [F.col(f"y.{c}").asc() for c in [*order, "node"]]
     place = Window.partitionBy("key").orderBy(*cols)
-    near = held.withColumn("x", F.lag("y").over(place))
+    hub = F.max(F.struct(f"y.{weight}", "y.node", "y")).over(Window.partitionBy("key"))["y"]
+    near = held.select("y", F.lag("y").over(place).alias("before"), hub.alias("hub"))
+    near = near.select("y", F.explode(F.array("before", "hub")).alias("x"))
     tried = saved(_pairs(near.where("x.node <> y.node"), may), "near-pairs")
     first = verify(tried)
     roots = components(first)
