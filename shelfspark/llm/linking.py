@@ -72,7 +72,7 @@ def link(
 ) -> DataFrame:
     """node and root of every linked node.
 
-    rows: a saved table (key, node, ...) of shared keys. order: columns that put like nodes
+    rows: a saved table (key, node, ...) of shared keys, each key and node once. order: columns that put like nodes
     side by side. weight: column whose largest value makes a key's hub. may(x, y): a filter on two rows of a key, x before y in this order; x and y give a
     column by name. verify: keeps the linked ones of distinct pairs (a, b).
     """
@@ -87,7 +87,9 @@ def link(
     roots = components(first)
 
     named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    # The only pair of a key with two nodes is tested already.
+    many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+    many = many.where("lo <> hi and n > 2").select("key")
     open_ = saved(named.join(many, "key"), "open-keys")
     packed = open_.select("key", F.struct(*[c for c in open_.columns if c != "key"]).alias("y"))
     other = packed.withColumnRenamed("y", "x")
