@@ -10,7 +10,7 @@ W = with_tables
 
 def _half_even(x: str, places: int) -> str:
     """x, not negative, rounded half to even by its shortest decimal form."""
-    d, unit = f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,10))", 10**places
+    d, unit = f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16))", 10**places
     low = f"floor({d} * {unit})"
     return f"CASE WHEN {d} * {unit} - {low} = 0.5 AND {low} % 2 = 0 THEN CAST({low} AS DOUBLE) / {unit} ELSE CAST(round({d}, {places}) AS DOUBLE) END"
 
@@ -156,7 +156,7 @@ batch AS (SELECT trim(product_code) AS c, arg_min(supplier, (file, line)) AS s,
   FROM resolved WHERE how IN ('mapping', 'code') GROUP BY 1)"""
 
 _SHEETS = """config AS (SELECT DISTINCT file, CAST(substr(file, 5, 1) AS INTEGER) AS ord FROM receipts WHERE CAST(substr(file, 5, 1) AS INTEGER) < 5),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY line) + 3 AS n FROM receipts)"""
+numbered AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY line, l_partkey, unit_cost, qty) + 3 AS n FROM receipts)"""
 
 _AS_OF_HOLIDAY = "SELECT event_id, (SELECT min(h.date) FROM holidays h WHERE h.date >= CAST(ts AS DATE)) AS h, CAST(ts AS DATE) AS day FROM events"
 

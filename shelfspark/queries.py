@@ -348,7 +348,7 @@ def _sheets(t):
     """Receipt sheets from order lines: two title lines, a header in the supplier's words, then the lines."""
     from pyspark.sql import Window
 
-    rows = t["receipts"].withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy("line")) + 3)
+    rows = t["receipts"].withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy("line", "l_partkey", "unit_cost", "qty")) + 3)
     body = rows.select("file", F.col("n").alias("line"), F.array("barcode", "item_name", "qty", "unit_cost").alias("cells"))
     s = F.substring("file", 5, 1)
     files = rows.select("file").distinct()
