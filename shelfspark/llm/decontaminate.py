@@ -32,7 +32,7 @@ from .words import drop_empty, offsets_of, slices, sums
 
 PASSAGE, STEP = 32, 16
 RANK = 256
-MIN_COSINE = 0.35
+MIN_COSINE = 0.45
 LCS_SHARE, ANSWER_SHARE = 0.7, 0.5
 BLOCK_WORDS = 1 << 15
 
@@ -81,14 +81,14 @@ class Space:
         self.vocabulary = sorted({w for _, ws in items for w in ws})
         self.place = {w: i for i, w in enumerate(self.vocabulary)}
         self.passages = [
-            (k, at, [self.place[w] for w in ws[at : at + PASSAGE]])
+            (k, at, sorted({self.place[w] for w in ws[at : at + PASSAGE]}))
             for k, (_, ws) in enumerate(items)
             for at in range(0, max(1, len(ws) - STEP), STEP)
         ]
 
     def weigh(self, n_docs: int, df: np.ndarray) -> None:
-        self.idf = (np.log((1 + n_docs) / (1 + df)) + 1).astype(np.float32)
-        self.other_idf = float(np.log((1 + n_docs) / 2) + 1)
+        self.idf = np.log((2 + n_docs) / (1 + df)).astype(np.float32)
+        self.other_idf = float(np.log((2 + n_docs) / 2))
 
     def place_queries(self, basis: np.ndarray) -> None:
         """Item passages in the latent space, each of length one before its projection."""
@@ -117,11 +117,12 @@ class Space:
             lengths = end[some] - begin[some]
             ends = np.cumsum(lengths)
             at = np.repeat(begin[some] - (ends - lengths), lengths) + np.arange(ends[-1])
+            # A word counts once in a passage, as in the items' passages.
             row = np.repeat(np.arange(len(some)), lengths)[known[at]]
-            at = at[known[at]]
+            row, code = np.divmod(np.unique(row * len(self.idf) + codes[at[known[at]]]), len(self.idf))
             vectors = np.zeros((len(some), self.basis.shape[1]), np.float32)
             filled, first = np.unique(row, return_index=True)
-            vectors[filled] = np.add.reduceat(self.basis[codes[at]] * weight[at, None].astype(np.float32), first, axis=0)
+            vectors[filled] = np.add.reduceat(self.basis[code] * self.idf[code][:, None], first, axis=0)
             cosine = vectors @ self.queries.T / np.sqrt(total[some])[:, None]
             for i, q in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
                 t = int(text[some[i]])
