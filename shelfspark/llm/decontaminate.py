@@ -144,7 +144,7 @@ class Space:
         return [(t, self.items[k][0], c, s, a) for (t, k), (s, a, c) in sorted(best.items())]
 
 
-def _document_counts(texts: DataFrame, vocabulary: list[str]) -> np.ndarray:
+def document_counts(texts: DataFrame, vocabulary: list[str]) -> np.ndarray:
     """In how many documents each word of the vocabulary stands; over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +224,7 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Itera
         space = Space([(r["item_id"], flat[a:z]) for r, a, z in zip(rows, offsets[:-1], offsets[1:], strict=True) if z > a])
         if not space.items:
             continue
-        space.weigh(n_docs, _document_counts(docs.select(F.col("text")), space.vocabulary))
+        space.weigh(n_docs, document_counts(docs.select(F.col("text")), space.vocabulary))
         sparse = []
         for _, _, p in space.passages:
             value = space.idf[p] / np.sqrt((space.idf[p] ** 2).sum())

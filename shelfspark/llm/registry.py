@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, lm_scoring, quality_rules, secret_scan, token_files, warc
+from . import bpe, decontaminate, jaccard_join, license_scan, line_dedup, lm_scoring, quality_rules, secret_scan, token_files, warc
 from .common import ship
 
 
@@ -15,6 +15,7 @@ def _shipped(query):
 
 
 _ALL = {
+    "op3_license_scan": license_scan.op3_license_scan,
     "op8_lm_scoring": lm_scoring.op8_lm_scoring,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op10_line_dedup": line_dedup.op10_line_dedup,
