@@ -48,6 +48,15 @@ def doc_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
 
 
+#: Rows up to which a saved table of a few numbers a row is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A saved table marked for broadcast if it has at most `limit` rows; else as it is, to be shuffled."""
+    return F.broadcast(table) if table.count() <= limit else table
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small
 from .linking import link, shared
 from .words import distinct_sorted, hash_strings, mixed, shingles, slices, split_words, sums
 
@@ -221,10 +221,10 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     texts = source.select("text")
     keys = texts.mapInArrow(_prefixes(*_common(signed)), "key long, node long, n int, end int, pos int")
     keys = saved(shared(keys).dropDuplicates(["key", "node"]), "shared-keys")
-    held = keys.groupBy("node").agg(F.count("*").cast("int").alias("held"))
+    held = saved(keys.groupBy("node").agg(F.count("*").cast("int").alias("held")), "held-keys")
     # The most shingles that a class can share: its shared keys and all beyond its prefix.
     after = F.floor((3 * F.col("n") + 3) / 4).cast("int") - 1
-    keys = saved(keys.join(held, "node").withColumn("most", F.col("held") + after).drop("held"), "prefix-keys")
+    keys = saved(keys.join(small(held), "node").withColumn("most", F.col("held") + after).drop("held"), "prefix-keys")
 
     def verify(pairs: DataFrame) -> DataFrame:
         # Only the sets of these pairs are built again and moved.

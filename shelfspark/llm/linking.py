@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -86,11 +86,11 @@ def link(
     first = verify(tried)
     roots = components(first)
 
-    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rows.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The only pair of a key with two nodes is tested already.
     many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    many = many.where("lo <> hi and n > 2").select("key")
-    open_ = saved(named.join(many, "key"), "open-keys")
+    many = saved(many.where("lo <> hi and n > 2").select("key"), "many-keys")
+    open_ = saved(named.join(small(many), "key"), "open-keys")
     packed = open_.select("key", F.struct(*[c for c in open_.columns if c != "key"]).alias("y"))
     other = packed.withColumnRenamed("y", "x")
     before = None
