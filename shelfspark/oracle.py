@@ -245,6 +245,11 @@ w2 AS (SELECT station, date, m, CASE WHEN count(m) OVER s = 7 THEN avg(m) OVER s
     "barcode_options": W("SELECT Barcode AS barcode, string_agg(ProductCode || ':' || Name, '|' ORDER BY ProductCode, Name) AS options FROM stock WHERE Barcode IN (SELECT barcode FROM resolved WHERE how = 'barcode') GROUP BY 1", _RESOLVED),
     "receipt_summary": W("SELECT file, count(*) AS total, count(*) FILTER (how = 'mapping') AS by_mapping, count(*) FILTER (how = 'code') AS by_code, count(*) FILTER (how = 'barcode') AS barcode_only, count(*) FILTER (how IN ('unknown', 'blank')) AS unmatched FROM resolved GROUP BY ROLLUP (file)", _RESOLVED),
     "reason_counts": W("SELECT reason, count(*) AS n FROM resolved WHERE how NOT IN ('mapping', 'code') GROUP BY 1", _RESOLVED),
+    "pos_import_layout": W(
+        """SELECT product_code, barcode, item_name, CAST(unit_cost AS VARCHAR) AS unit_cost, CAST(qty AS VARCHAR) AS qty, 'S1' AS shop, in_date, '' AS receipt_no, '001' AS supplier_no,
+  supplier, '' AS remark, '' AS status, '' AS system_note FROM resolved WHERE how IN ('mapping', 'code')""",
+        _RESOLVED,
+    ),
     "mapping_verdicts": W("SELECT * FROM judged", _MANUAL),
     "mapping_upsert": W(
         """SELECT coalesce(m.barcode, g.barcode) AS barcode, coalesce(m.item_name, g.item_name) AS item_name, coalesce(g.code, m.product_code) AS product_code, CASE WHEN g.code IS NOT NULL THEN 'new' ELSE m.supplier END AS supplier
