@@ -1,12 +1,13 @@
-r"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line a group.
+r"""Fuzzy line dedup: MinHash keys, edit similarity, one line a group.
 
 Lines (cut at \n) are normalised: lower case, words without signs at their ends, one
-blank between. Equal normalised lines are one node. Two nodes link when their 64-bit
-SimHashes over word pairs differ in at most three bits and their edit similarity
-(1 - Levenshtein distance / longer length, in characters) is at least 0.9. With b blocks of bits,
-three changed bits leave b - 3 blocks alone, so every choice of b - 3 blocks is a key;
-b grows with the number of different lines so that chance meets stay rare, which
-changes the cost and never the links. Of each connected group of lines the occurrence
+blank between. Equal normalised lines are one node. Two nodes link when their edit similarity
+(1 - Levenshtein distance / longer length, in characters) is at least 0.9. Pairs are tested when
+they share a key: PAIR_KEYS keys of PAIR_ROWS minima each over the hashed pairs of words, and for
+lines of at most SHORT characters, where one letter spoils a large part of the words, as many
+over the hashed runs of three bytes. A pair whose features have Jaccard similarity J shares
+one of k keys of r minima with chance 1 - (1 - J^r)^k, whatever the size of the input.
+Of each connected group of lines the occurrence
 with the smallest (doc_id, document key, line number) stays; all others go.
 
 Edge cases: lines without a word are never touched; a null text is empty; a null doc_id
@@ -18,7 +19,6 @@ empty text; the filter ``drop_lines`` then leaves it out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,14 @@ from .common import doc_key, saved
 from .linking import link, shared
 from .words import drop_empty, hash_strings, mixed, offsets_of, shingles, slices, sums
 
-#: Least edit similarity of linked lines, and most differing bits of their SimHashes.
-SIMILARITY, BITS = 0.9, 3
+#: Least edit similarity of linked lines.
+SIMILARITY = 0.9
+#: Most differing bits of the SimHashes of linked lines: all, for they only put like lines side by side.
+BITS = 64
+#: Keys of a line and minima a key, over pairs of words and, up to SHORT characters, over runs of three bytes.
+PAIR_KEYS, PAIR_ROWS = 12, 4
+RUN_KEYS, RUN_ROWS = 16, 5
+SHORT = 64
 #: Signs that are cut from the ends of words.
 SIGNS = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
 #: Bits of the table that tells which lines are candidates.
@@ -73,12 +79,58 @@ def _numbers(offsets: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarr
     return node, sim
 
 
+#: Odd factors; each puts the same hashes in another order.
+_TURNS = np.random.default_rng(10).integers(1 << 62, size=(2, max(PAIR_KEYS * PAIR_ROWS, RUN_KEYS * RUN_ROWS)), dtype=np.uint64) * np.uint64(4) + np.uint64(1)
+
+
+def _closed(offsets: np.ndarray, items: np.ndarray, ends: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and items with that many zeros after each list."""
+    return offsets + ends * np.arange(len(offsets)), np.insert(items, np.repeat(offsets[1:], ends), 0)
+
+
+def _minima(offsets: np.ndarray, hashes: np.ndarray, keys: int, rows: int, kind: int) -> np.ndarray:
+    """MinHash keys (lists x keys) of lists that are not empty."""
+    out = np.empty((len(offsets) - 1, keys), np.uint64)
+    for k in range(keys):
+        key = np.full(len(offsets) - 1, 2 * k + kind, np.uint64)
+        for turn in _TURNS[kind, k * rows : (k + 1) * rows]:
+            key = mixed(key + np.minimum.reduceat(hashes * turn, offsets[:-1]))
+        out[:, k] = key
+    return out
+
+
+def _keys(offsets: np.ndarray, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Characters and MinHash keys of normalised lines that have words."""
+    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words)
+    lines = pc.binary_join(lists, " ")
+    chars = pc.utf8_length(lines)
+    if not len(lines):
+        return chars, pa.array([], pa.list_(pa.int64()))
+    ends, h = _closed(offsets, hash_strings(words), 1)
+    before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
+    pairs = _minima(ends, mixed(mixed(before) + h), PAIR_KEYS, PAIR_ROWS, 0)
+    short = chars.to_numpy(zero_copy_only=False) <= SHORT
+    size = np.where(short, PAIR_KEYS + RUN_KEYS, PAIR_KEYS)
+    place = np.cumsum(size) - size
+    flat = np.empty(size.sum(), np.uint64)
+    flat[place[:, None] + np.arange(PAIR_KEYS)] = pairs
+    if short.any():
+        some = lines.filter(pa.array(short))
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(some).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        raw = np.frombuffer("".join(some.to_pylist()).encode(), np.uint8).astype(np.uint64)
+        at, raw = _closed(at, raw, 2)
+        padded = np.concatenate([np.zeros(2, np.uint64), raw])
+        runs = padded[:-2] << np.uint64(16) | padded[1:-1] << np.uint64(8) | raw
+        flat[place[short][:, None] + PAIR_KEYS + np.arange(RUN_KEYS)] = _minima(at, mixed(runs + np.uint64(1)), RUN_KEYS, RUN_ROWS, 1)
+    return chars, pa.ListArray.from_arrays(pa.array(np.append(place, len(flat)).astype(np.int32)), _signed(flat))
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, doc_id, line, node, sim of every line with words."""
+    """doc, doc_id, line, node, sim, characters and keys of every line with words."""
     for batch in slices(batches):
         per_doc, offsets, words = _lines(batch.column(2))
         node, sim = _numbers(offsets, words)
@@ -86,9 +138,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = np.arange(len(docs)) - np.repeat(per_doc[:-1], np.diff(per_doc))
         full = np.flatnonzero(np.diff(offsets) > 0)
         at = pa.array(docs[full])
+        # Lines without words add nothing to the words, so their offsets can go.
+        chars, keys = _keys(np.append(offsets[:-1][full], offsets[-1]), words)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(line[full].astype(np.int32)), _signed(node[full]), _signed(sim[full])],
-            names=["doc", "doc_id", "line", "node", "sim"],
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(line[full].astype(np.int32)), _signed(node[full]), _signed(sim[full]), chars, keys],
+            names=["doc", "doc_id", "line", "node", "sim", "chars", "keys"],
         )
 
 
@@ -163,38 +217,19 @@ def _bits(nodes: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def blocks_for(lines: int) -> int:
-    """The number of blocks: the fewest whose keys have about 30 values for each line."""
-    b = BITS + 1
-    while b < 10 and (1 << 64 * (b - BITS) // b) < 16 * lines:
-        b += 1
-    return b
-
-
-def _keys(sim: str, b: int):
-    """An array of every choice of b - BITS blocks, with the number of the choice on top."""
-    cuts = [64 * i // b for i in range(b + 1)]
-    keys = []
-    for n, chosen in enumerate(combinations(range(b), b - BITS)):
-        mask = sum(((1 << cuts[i + 1]) - (1 << cuts[i])) for i in chosen)
-        mask -= (mask >> 63) << 64
-        keys.append(F.xxhash64(F.lit(n), F.col(sim).bitwiseAND(F.lit(mask).cast("long"))))
-    return F.array(*keys)
-
-
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """doc (its key), doc_id and drops, the numbers of the lines that go, for documents that lose any."""
     source = docs.select(doc_key().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = saved(source.mapInArrow(_describe, "doc long, doc_id long, line int, node long, sim long"), "lines")
+    lines = saved(source.mapInArrow(_describe, "doc long, doc_id long, line int, node long, sim long, chars int, keys array<long>"), "lines")
     # A null doc_id sorts after every number.
     spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
-    nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.min("sim").alias("sim"), F.count("*").alias("copies"))
+    nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.min("sim").alias("sim"), F.count("*").alias("copies"), F.first("chars").alias("chars"), F.first("keys").alias("keys"))
     nodes = saved(nodes, "line-nodes")
-    keys = nodes.select(F.explode(_keys("sim", blocks_for(nodes.count()))).alias("key"), "node", "sim")
+    keys = nodes.select(F.explode("keys").alias("key"), "node", "sim", "chars")
     keys = saved(shared(keys), "line-keys")
 
     def may(x, y):
-        return F.bit_count(x("sim").bitwiseXOR(y("sim"))) <= BITS
+        return F.abs(x("chars") - y("chars")) <= (1 - SIMILARITY) * F.greatest(x("chars"), y("chars")) + 1e-9
 
     def verify(pairs: DataFrame) -> DataFrame:
         bits = _bits(pairs.select(F.explode(F.array("a", "b")).alias("node")))

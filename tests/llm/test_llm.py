@@ -301,3 +301,19 @@ def test_pipeline_columns(spark, tmp_path):
         assert df.columns == before.columns and df.count() <= before.count()
     out = corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path))
     assert out.count() == df.count() and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_lines_with_a_changed_letter_meet(spark):
+    """At least 0.9 of lines of every length and their copies with one other letter are one group."""
+    r = random.Random(11)
+    vocab = ["".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(r.randint(1, 9))) for _ in range(2000)]
+    rows, kinds = [], [(4, 7), (8, 15), (16, 30), (31, 60), (61, 120)]
+    for k, (low, high) in enumerate(kinds):
+        for i in range(60):
+            line = "start" + " ".join(r.choice(vocab) for _ in range(r.randint(low, high)))
+            at = r.choice([x for x, c in enumerate(line) if c != " "])
+            rows += [(1000 * k + 2 * i, line, "s"), (1000 * k + 2 * i + 1, line[:at] + "z" + line[at + 1 :], "s")]
+    got = {d["doc_id"]: d["__dropped"] for d in line_dedup.deduped(make(spark, rows)).select("doc_id", "__dropped").collect()}
+    for k in range(len(kinds)):
+        assert sum(got[1000 * k + 2 * i + 1] for i in range(60)) >= 54
+    assert not any(n for d, n in got.items() if d % 2 == 0)
