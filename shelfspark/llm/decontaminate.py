@@ -8,8 +8,9 @@ cosine with an item passage reaches MIN_COSINE are candidates. A candidate count
 common subsequence of the item with a stretch of the document about as long as the item
 holds LCS_SHARE of the item's words, and ANSWER_SHARE of its answer, the last third.
 
-The benchmark is the stated query set. It is dealt into blocks of about BLOCK_WORDS
-words; each block is one pass over all documents, so what goes to the tasks is bounded.
+The benchmark is the stated query set. It is dealt into blocks of about RANK passages, and
+the basis of a block has a direction for each of its passages, so that projection takes
+nothing from them; each block is one pass over all documents, so what goes to the tasks is bounded.
 
 Edge cases: items without words match nothing; null texts are empty; equal
 items match alike; repeated documents are matched each time; empty tables give no rows.
@@ -34,7 +35,6 @@ PASSAGE, STEP = 32, 16
 RANK = 256
 MIN_COSINE = 0.45
 LCS_SHARE, ANSWER_SHARE = 0.7, 0.5
-BLOCK_WORDS = 1 << 15
 
 HITS = "item_id long, cosine double, lcs_share double, answer_share double"
 
@@ -210,12 +210,13 @@ def randomised_basis(rows: DataFrame, width: int, rank: int, rounds: int = 2, se
     return block @ turn[:, keep[values[keep] > 1e-9 * values.max()]]
 
 
-def fit_blocks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Iterator[Space]:
+def fit_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
     """A fitted space for each block of the benchmark."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_WORDS))
+    passages = F.greatest(F.lit(1), F.ceil((F.size(F.split("text", r"\s+")) - STEP) / STEP))
+    size = items.agg(F.sum(passages)).first()[0] or 0
+    blocks = max(1, -(-size // RANK))
     n_docs = docs.count()
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
@@ -230,7 +231,7 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Itera
             value = space.idf[p] / np.sqrt((space.idf[p] ** 2).sum())
             sparse.append((p, value.tolist()))
         matrix = spark.createDataFrame(sparse, "place array<int>, value array<float>").repartition(spark.sparkContext.defaultParallelism)
-        space.place_queries(randomised_basis(saved(matrix, "item-passages"), len(space.vocabulary), min(rank, len(space.passages))))
+        space.place_queries(randomised_basis(saved(matrix, "item-passages"), len(space.vocabulary), len(space.passages)))
         yield space
 
 

@@ -317,3 +317,13 @@ def test_lines_with_a_changed_letter_meet(spark):
     for k in range(len(kinds)):
         assert sum(got[1000 * k + 2 * i + 1] for i in range(60)) >= 54
     assert not any(n for d, n in got.items() if d % 2 == 0)
+
+
+def test_leaks_of_a_large_benchmark(spark):
+    """Exact copies are found whatever the number of passages."""
+    r = random.Random(4)
+    vocab = [f"{r.choice('abcdefgh')}{i}" for i in range(6000)]
+    items = [(i, " ".join(r.choice(vocab) for _ in range(25))) for i in range(1300)]
+    df = make(spark, [(i, t, "s") for i, t in items[::10]])
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, i) for i, _ in items[::10]}
