@@ -14,6 +14,7 @@ count; repeated rows follow one another; an empty table gives no file and no row
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,7 +42,10 @@ def pack(doc_ids: list[int | None], ids: list[np.ndarray], width: int) -> bytes:
     nulls = sum(x is None for x in doc_ids)
     known = EliasFano.build(np.array(doc_ids[nulls:], dtype=np.int64))
     ends = EliasFano.build(np.cumsum([len(x) for x in ids], dtype=np.int64))
-    flat = np.concatenate(ids).astype(f"<u{width}")
+    flat = np.concatenate(ids)
+    if len(flat) and int(flat.max()) >> 8 * width:
+        raise ValueError(f"id {int(flat.max())} does not fit {width} bytes")
+    flat = flat.astype(f"<u{width}")
     return _HEAD.pack(MAGIC, len(ids), nulls, width) + known.to_bytes() + ends.to_bytes() + flat.tobytes()
 
 
@@ -67,6 +71,11 @@ class TokenFile:
         return [None] * self.nulls + self.known.all().tolist()
 
 
+#: A blank and Latin letters, by ranges that hold nothing else.
+_WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
+#: The letter that stands for each byte in byte-level vocabularies: itself if it can be seen, else the next one from 256 on.
+_SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _SEEN)}
 _TABLES: dict[str, PieceTable] = {}
 
 
@@ -79,8 +88,20 @@ def worker_table(path: str) -> PieceTable:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
+        model = tokenizer.model
+
         def encode(new: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            """Ids of pieces. One of Latin letters is one match of the split pattern and goes to the model at once."""
+            word, out = _WORD.fullmatch, [[]] * len(new)
+            rest = []
+            for i, piece in enumerate(new):
+                if word(piece):
+                    out[i] = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))]
+                else:
+                    rest.append(i)
+            for i, own in zip(rest, tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False), strict=True):
+                out[i] = own.ids
+            return out
 
         _TABLES[path] = PieceTable(encode)
     return _TABLES[path]
@@ -105,7 +126,7 @@ def _writer(folder: str, path: str, width: int):
         for batch in slices(batches):
             for doc_id, ids in zip(batch.column(0).to_pylist(), table(batch.column(1)), strict=True):
                 doc_ids.append(doc_id)
-                held.append(np.append(ids, np.uint32(END_ID)).astype(f"<u{width}"))
+                held.append(np.append(ids, np.uint32(END_ID)))
                 size += len(held[-1])
                 if size >= FILE_IDS:
                     yield close()
