@@ -6,7 +6,11 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +36,52 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
+#: Lets Spark delete the shuffle files of a query as soon as its result stands.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Folders of saved tables, and the tables that each open ``scratch`` holds.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_OPEN: list[list[DataFrame]] = []
+
+
+def saved(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The shuffle files behind it go at once. Inside a ``scratch`` the table goes at its end; with outer it
+    belongs to the scratch around that one, or stays if there is none.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
-    fields = [f for f in df.schema.fields if f.name not in partition_by]
-    fields += [df.schema[c] for c in partition_by]
-    return spark.read.schema(type(df.schema)(fields)).parquet(path)
+    before = spark.conf.get(_SHUFFLES_GO, "false")
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLES_GO, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    owners = _OPEN[:-1] if outer else _OPEN
+    if owners:
+        owners[-1].append(table)
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more."""
+    for table in tables:
+        if path := _FOLDERS.pop(table, None):
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that are saved inside are deleted at the end."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        discard(*_OPEN.pop())
 
 
 def doc_key() -> Column:
@@ -48,13 +89,34 @@ def doc_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
 
 
-#: Rows up to which a saved table of a few numbers a row is broadcast.
-BROADCAST_ROWS = 1_000_000
+def free_name(columns: list[str], name: str) -> str:
+    """name, with as many underscores behind it as no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Bits of a table of numbers, at most; with more numbers than a sixteenth of it, more pass that are not meant.
+MOST_BITS = 1 << 26
+
+
+class BitTable:
+    """Tells which 64-bit numbers may be among those of a table: a hash bit each. Goes to the tasks as a broadcast of at most MOST_BITS bits."""
 
+    def __init__(self, nodes: DataFrame):
+        """nodes: a column of whole numbers that are hashes already."""
+        n = nodes.count()
+        self.size = min(MOST_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
+        slot = F.col(nodes.columns[0]).bitwiseAND(F.lit(self.size - 1))
+        words = nodes.select(F.shiftright(slot, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("b"))
+        found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+        self.bits = np.zeros(self.size // 64, np.uint64)
+        self.bits[found["w"].to_numpy()] = found["b"].to_numpy().view(np.uint64)
 
-def small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A saved table marked for broadcast if it has at most `limit` rows; else as it is, to be shuffled."""
-    return F.broadcast(table) if table.count() <= limit else table
+    def has(self, nodes: np.ndarray) -> np.ndarray:
+        slot = nodes.view(np.uint64) & np.uint64(self.size - 1)
+        return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
 _SHIPPED: set[str] = set()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small
+from .common import BitTable, free_name, saved, scratch
 from .linking import link, shared
 from .words import distinct_sorted, hash_strings, mixed, shingles, slices, split_words, sums
 
@@ -33,8 +33,6 @@ from .words import distinct_sorted, hash_strings, mixed, shingles, slices, split
 COUNT_AT = 2 << 20
 #: Rows of the table of common shingles, at most.
 MOST_COMMON = 1 << 17
-#: Bits of the table that tells which classes are candidates.
-CLASS_BITS = 1 << 23
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,16 +136,14 @@ def _prefixes(common: np.ndarray, counts: np.ndarray):
     return run
 
 
-def _wanted_sets(bits: np.ndarray):
+def _wanted_sets(table: BitTable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The set of each class whose bit is on, once a task."""
+        """The set of each class that may be in the table, once a task."""
         seen: set[int] = set()
         for batch in slices(batches):
             offsets, items, classes = _sets(batch)
-            slot = classes % np.uint64(CLASS_BITS)
-            on = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
             nodes, sets = [], []
-            for i in np.flatnonzero(on):
+            for i in np.flatnonzero(table.has(classes)):
                 if (c := int(classes[i])) not in seen:
                     seen.add(c)
                     nodes.append(classes[i])
@@ -157,20 +153,6 @@ def _wanted_sets(bits: np.ndarray):
     return run
 
 
-def _bits(nodes: DataFrame) -> np.ndarray:
-    """A table of CLASS_BITS bits with those of the nodes on; the driver sees at most CLASS_BITS / 64 rows."""
-    slots = nodes.select(F.col("node").bitwiseAND(F.lit(CLASS_BITS - 1)).alias("s"))
-    rows = (
-        slots.groupBy(F.shiftright("s", 6).alias("w"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("b"))
-        .collect()
-    )
-    bits = np.zeros(CLASS_BITS // 64, np.int64)
-    for r in rows:
-        bits[r["w"]] = r["b"]
-    return bits.view(np.uint64)
-
-
 def _suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
     """The most items two sorted sets can share, by cutting both at a middle item."""
     if not depth or not len(x) or not len(y):
@@ -216,31 +198,32 @@ def _may(x, y):
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, node (class number) and component_id of every row of docs."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = saved(source.mapInArrow(_sign, "kind int, doc_id long, node long, n long"), "signatures")
-    rows = signed.where("kind = 0").select("doc_id", "node", "n")
     texts = source.select("text")
-    keys = texts.mapInArrow(_prefixes(*_common(signed)), "key long, node long, n int, end int, pos int")
-    keys = saved(shared(keys).dropDuplicates(["key", "node"]), "shared-keys")
-    held = saved(keys.groupBy("node").agg(F.count("*").cast("int").alias("held")), "held-keys")
-    # The most shingles that a class can share: its shared keys and all beyond its prefix.
-    after = F.floor((3 * F.col("n") + 3) / 4).cast("int") - 1
-    keys = saved(keys.join(small(held), "node").withColumn("most", F.col("held") + after).drop("held"), "prefix-keys")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        # Only the sets of these pairs are built again and moved.
-        bits = _bits(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-        sets = texts.mapInArrow(_wanted_sets(bits), "node long, items binary")
-        sets = sets.groupBy("node").agg(F.first("items").alias("items"))
-        full = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-        full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-        return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "links")
-
-    roots = link(keys, ["n"], "most", _may, verify)
-    classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    named = classes.join(roots, "node", "left").where("copies > 1 or root is not null")
-    named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "classes")
-    least = named.groupBy("root").agg(F.min("first").alias("component"))
-    named = named.join(least, "root").select("node", "component")
+    with scratch():
+        signed = saved(source.mapInArrow(_sign, "kind int, doc_id long, node long, n long"), "signatures")
+        rows = saved(signed.where("kind = 0").select("doc_id", "node", "n"), "sizes", outer=True)
+        keys = texts.mapInArrow(_prefixes(*_common(signed)), "key long, node long, n int, end int, pos int")
+        keys = saved(shared(keys).dropDuplicates(["key", "node"]), "shared-keys")
+        # The most shingles that a class can share: its shared keys and all beyond its prefix.
+        held = keys.groupBy("node").agg(F.count("*").cast("int").alias("held"))
+        after = F.floor((3 * F.col("n") + 3) / 4).cast("int") - 1
+        keys = saved(keys.join(held, "node").withColumn("most", F.col("held") + after).drop("held"), "prefix-keys")
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            # Only the sets of these pairs are built again and moved.
+            table = BitTable(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+            sets = texts.mapInArrow(_wanted_sets(table), "node long, items binary")
+            sets = saved(sets.groupBy("node").agg(F.first("items").alias("items")), "sets")
+            full = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
+            full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+            return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "links")
+
+        roots = link(keys, ["n"], "most", _may, verify)
+        classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+        named = classes.join(roots, "node", "left").where("copies > 1 or root is not null")
+        named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "classes")
+        least = named.groupBy("root").agg(F.min("first").alias("component"))
+        named = saved(named.join(least, "root").select("node", "component"), "components", outer=True)
     return rows.join(named, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -254,8 +237,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Documents without words or without a doc_id stay.
     """
-    gone = jaccard_groups(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(saved(gone, "near-copies"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    gone = free_name(docs.columns, "gone")
+    ids = jaccard_groups(docs).where("component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(saved(ids, "near-copies"), docs["doc_id"].cast("long") == F.col(gone), "left_anti")
 
 
 def op2_jaccard_join(spark, sf_dir) -> DataFrame:

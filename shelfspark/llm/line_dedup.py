@@ -18,6 +18,7 @@ empty text; the filter ``drop_lines`` then leaves it out.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,22 +27,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, saved
+from .common import BitTable, doc_key, free_name, saved, scratch
 from .linking import link, shared
-from .words import drop_empty, hash_strings, mixed, offsets_of, shingles, slices, sums
+from .words import drop_empty, hash_strings, mixed, offsets_of, slices, sums
 
 #: Least edit similarity of linked lines.
 SIMILARITY = 0.9
-#: Most differing bits of the SimHashes of linked lines: all, for they only put like lines side by side.
-BITS = 64
 #: Keys of a line and minima a key, over pairs of words and, up to SHORT characters, over runs of three bytes.
 PAIR_KEYS, PAIR_ROWS = 12, 4
 RUN_KEYS, RUN_ROWS = 16, 5
 SHORT = 64
 #: Signs that are cut from the ends of words.
 SIGNS = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
-#: Bits of the table that tells which lines are candidates.
-LINE_BITS = 1 << 23
+LINES = "doc long, doc_id long, line int, node long, sim long, words string, chars int, keys array<long>"
 
 #: Spreads the bits of a byte to eight byte-wide counters.
 _LANES = np.array([sum((i >> k & 1) << 8 * k for k in range(8)) for i in range(256)], dtype=np.uint64)
@@ -55,16 +53,17 @@ def _lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return offsets_of(lists), *drop_empty(offsets_of(words), flat)
 
 
-def _numbers(offsets: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each normalised line, and its SimHash."""
-    h = hash_strings(words)
+def _numbers(offsets: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The number of each line, from the hashes of its words and their places."""
     n = np.diff(offsets)
     place = np.arange(len(h), dtype=np.int64) - np.repeat(offsets[:-1], n)
-    node = mixed(sums(offsets, mixed(h + mixed(place.astype(np.uint64)))) + n.astype(np.uint64))
-    # Pairs of words, for single words that all lines share would make long lines alike.
-    offsets, h = shingles(offsets, h, 2)
+    return mixed(sums(offsets, mixed(h + mixed(place.astype(np.uint64)))) + n.astype(np.uint64))
+
+
+def simhashes(offsets: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The SimHash of each list of feature hashes; a bit that as many features have as not takes that of the list's first feature."""
     n = np.diff(offsets)
-    # Eight counters fit in one 64-bit number as long as no part of a line has over 255 pairs.
+    # Eight counters fit in one 64-bit number as long as no part of a line has over 255 features.
     parts = np.maximum(1, (n + 254) // 255)
     first = np.cumsum(parts) - parts
     cuts = np.repeat(offsets[:-1], parts) + 255 * (np.arange(parts.sum()) - np.repeat(first, parts))
@@ -74,9 +73,10 @@ def _numbers(offsets: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarr
         lanes = sums(cuts, _LANES[(h >> np.uint64(8 * byte)) & np.uint64(255)])
         each = lanes.view(np.uint8).reshape(-1, 8).astype(np.int64)
         ones = np.add.reduceat(each, first, axis=0) if len(first) else each
-        bits = (2 * ones > n[:, None]) @ (1 << np.arange(8))
+        own = (h[offsets[:-1]] >> np.uint64(8 * byte))[:, None] >> np.arange(8, dtype=np.uint64) & np.uint64(1)
+        bits = (2 * ones + own.astype(np.int64) > n[:, None]) @ (1 << np.arange(8))
         sim |= bits.astype(np.uint64) << np.uint64(8 * byte)
-    return node, sim
+    return sim
 
 
 #: Odd factors; each puts the same hashes in another order.
@@ -99,14 +99,15 @@ def _minima(offsets: np.ndarray, hashes: np.ndarray, keys: int, rows: int, kind:
     return out
 
 
-def _keys(offsets: np.ndarray, words: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """Characters and MinHash keys of normalised lines that have words."""
+def _signatures(offsets: np.ndarray, words: pa.Array, h: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """SimHash, text, characters and MinHash keys of normalised lines that have words."""
     lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words)
     lines = pc.binary_join(lists, " ")
     chars = pc.utf8_length(lines)
     if not len(lines):
-        return chars, pa.array([], pa.list_(pa.int64()))
-    ends, h = _closed(offsets, hash_strings(words), 1)
+        return pa.array([], pa.int64()), lines, chars, pa.array([], pa.list_(pa.int64()))
+    sim = simhashes(offsets, h)
+    ends, h = _closed(offsets, h, 1)
     before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
     pairs = _minima(ends, mixed(mixed(before) + h), PAIR_KEYS, PAIR_ROWS, 0)
     short = chars.to_numpy(zero_copy_only=False) <= SHORT
@@ -122,7 +123,8 @@ def _keys(offsets: np.ndarray, words: pa.Array) -> tuple[pa.Array, pa.Array]:
         padded = np.concatenate([np.zeros(2, np.uint64), raw])
         runs = padded[:-2] << np.uint64(16) | padded[1:-1] << np.uint64(8) | raw
         flat[place[short][:, None] + PAIR_KEYS + np.arange(RUN_KEYS)] = _minima(at, mixed(runs + np.uint64(1)), RUN_KEYS, RUN_ROWS, 1)
-    return chars, pa.ListArray.from_arrays(pa.array(np.append(place, len(flat)).astype(np.int32)), _signed(flat))
+    keys = pa.ListArray.from_arrays(pa.array(np.append(place, len(flat)).astype(np.int32)), _signed(flat))
+    return _signed(sim), lines, chars, keys
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -130,38 +132,49 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, doc_id, line, node, sim, characters and keys of every line with words."""
+    """doc, doc_id, line, node and sim of every line with words; its words, characters and keys where the task meets it first."""
+    seen: set[int] = set()
     for batch in slices(batches):
         per_doc, offsets, words = _lines(batch.column(2))
-        node, sim = _numbers(offsets, words)
         docs = np.repeat(np.arange(batch.num_rows), np.diff(per_doc))
         line = np.arange(len(docs)) - np.repeat(per_doc[:-1], np.diff(per_doc))
         full = np.flatnonzero(np.diff(offsets) > 0)
-        at = pa.array(docs[full])
         # Lines without words add nothing to the words, so their offsets can go.
-        chars, keys = _keys(np.append(offsets[:-1][full], offsets[-1]), words)
+        offsets = np.append(offsets[:-1][full], offsets[-1])
+        hashes = hash_strings(words)
+        node = _numbers(offsets, hashes)
+        new = np.zeros(len(node), bool)
+        for i, x in enumerate(node.tolist()):
+            if x not in seen:
+                seen.add(x)
+                new[i] = True
+        sim, text, chars, keys = _signatures(*_picked(offsets, words, hashes, new))
+        back = np.cumsum(new) - 1
+        at = pa.array(np.where(new, back, 0), mask=~new)
+        docs = pa.array(docs[full])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(line[full].astype(np.int32)), _signed(node[full]), _signed(sim[full]), chars, keys],
-            names=["doc", "doc_id", "line", "node", "sim", "chars", "keys"],
-        )
+            [
+                batch.column(0).take(docs), batch.column(1).take(docs), pa.array(line[full].astype(np.int32)), _signed(node),
+                sim.take(at), text.take(at), chars.take(at), keys.take(at),
+            ],
+            names=["doc", "doc_id", "line", "node", "sim", "words", "chars", "keys"],
+        )
+
+
+def _picked(offsets: np.ndarray, words: pa.Array, hashes: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Offsets, words and their hashes of some of the lists."""
+    if some.all():
+        return offsets, words, hashes
+    n = np.diff(offsets)
+    each = np.repeat(some, n)
+    return np.concatenate([[0], np.cumsum(n[some])]), words.filter(pa.array(each)), hashes[each]
 
 
-def _wanted(bits: np.ndarray):
+def _among(table: BitTable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The normalised text of each line whose bit is on, once a task."""
-        seen: set[int] = set()
-        for batch in slices(batches):
-            _, offsets, words = _lines(batch.column(0))
-            node, _ = _numbers(offsets, words)
-            slot = node % np.uint64(LINE_BITS)
-            on = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
-            nodes, lines = [], []
-            for i in np.flatnonzero(on & (np.diff(offsets) > 0)):
-                if (c := int(node[i])) not in seen:
-                    seen.add(c)
-                    nodes.append(node[i])
-                    lines.append(" ".join(words[int(offsets[i]) : int(offsets[i + 1])].to_pylist()))
-            yield pa.RecordBatch.from_arrays([_signed(np.array(nodes, np.uint64)), pa.array(lines, pa.string())], names=["node", "words"])
+        """The rows whose node may be in the table."""
+        for batch in batches:
+            yield batch.filter(pa.array(table.has(batch.column(0).to_numpy())))
 
     return run
 
@@ -194,8 +207,23 @@ def edit_distance(a: str, b: str) -> int:
 
 
 def alike(a: str, b: str, least: float = SIMILARITY) -> bool:
+    """Whether the edit similarity reaches least; quick proofs for and against come before the whole distance."""
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
-    return abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y):  # words changed in their places bound the distance from above
+        bound = 0
+        for p, q in zip(x, y, strict=True):
+            if p != q:
+                bound += edit_distance(p, q)
+                if bound > most:
+                    break
+        else:
+            return True
+    # An edit spoils at most three runs of three characters.
+    runs = (Counter(zip(a, a[1:], a[2:])) & Counter(zip(b, b[1:], b[2:]))).total()
+    return runs >= max(len(a), len(b)) - 2 - 3 * most and edit_distance(a, b) <= most
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,74 +233,66 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])
 
 
-def _bits(nodes: DataFrame) -> np.ndarray:
-    """A table of LINE_BITS bits with those of the nodes on; the driver sees at most LINE_BITS / 64 rows."""
-    slots = nodes.select(F.col("node").bitwiseAND(F.lit(LINE_BITS - 1)).alias("s"))
-    rows = (
-        slots.groupBy(F.shiftright("s", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("b")).collect()
-    )
-    bits = np.zeros(LINE_BITS // 64, np.int64)
-    for r in rows:
-        bits[r["w"]] = r["b"]
-    return bits.view(np.uint64)
-
-
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """doc (its key), doc_id and drops, the numbers of the lines that go, for documents that lose any."""
-    source = docs.select(doc_key().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = saved(source.mapInArrow(_describe, "doc long, doc_id long, line int, node long, sim long, chars int, keys array<long>"), "lines")
-    # A null doc_id sorts after every number.
-    spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
-    nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.min("sim").alias("sim"), F.count("*").alias("copies"), F.first("chars").alias("chars"), F.first("keys").alias("keys"))
-    nodes = saved(nodes, "line-nodes")
-    keys = nodes.select(F.explode("keys").alias("key"), "node", "sim", "chars")
-    keys = saved(shared(keys), "line-keys")
-
-    def may(x, y):
-        return F.abs(x("chars") - y("chars")) <= (1 - SIMILARITY) * F.greatest(x("chars"), y("chars")) + 1e-9
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        bits = _bits(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-        texts = source.select("text").mapInArrow(_wanted(bits), "node long, words string").dropDuplicates(["node"])
-        texts = saved(texts, "line-texts")
-        full = pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
-        full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
-        return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
-
-    roots = link(keys, ["sim"], "sim", may, verify)
-    named = nodes.join(roots, "node", "left").where("copies > 1 or root is not null")
-    named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "line-groups")
-    firsts = named.groupBy("root").agg(F.min("first").alias("keep"))
-    named = named.join(firsts, "root").select("node", "keep")
-    gone = lines.join(named, "node").where(
-        (F.col("doc") != F.col("keep.doc")) | (F.col("line") != F.col("keep.line"))
-    )
-    return gone.groupBy("doc").agg(F.min("doc_id").alias("doc_id"), F.collect_set("line").alias("drops"))
+    """doc (its key), doc_id and drops, the numbers of the lines that go, for documents that lose any; a saved table."""
+    with scratch():
+        source = docs.select(doc_key().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+        lines = saved(source.mapInArrow(_describe, LINES), "lines")
+        new = lines.where("keys is not null")
+        rows = new.select(F.explode("keys").alias("key"), "node", "sim", "chars")
+        rows = saved(shared(rows).dropDuplicates(["key", "node"]), "line-keys")
+        table = BitTable(rows.select("node").distinct())
+        texts = new.select("node", "words").mapInArrow(_among(table), "node long, words string")
+        texts = saved(texts.dropDuplicates(["node"]), "line-texts")
+
+        def may(x, y):
+            return F.abs(x("chars") - y("chars")) <= (1 - SIMILARITY) * F.greatest(x("chars"), y("chars")) + 1e-9
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            full = pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
+            full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
+            return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
+
+        roots = link(rows, ["sim"], "sim", may, verify)
+        # A null doc_id sorts after every number.
+        spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
+        nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))
+        named = nodes.join(roots, "node", "left").where("copies > 1 or root is not null")
+        named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "line-groups")
+        firsts = named.groupBy("root").agg(F.min("first").alias("keep"))
+        named = named.join(firsts, "root").select("node", "keep")
+        gone = lines.select("node", "doc", "doc_id", "line").join(named, "node")
+        gone = gone.where((F.col("doc") != F.col("keep.doc")) | (F.col("line") != F.col("keep.line")))
+        gone = gone.groupBy("doc").agg(F.min("doc_id").alias("doc_id"), F.collect_set("line").alias("drops"))
+        return saved(gone, "drops", outer=True)
+
+
+def _without_drops(docs: DataFrame) -> tuple[DataFrame, str, str, str]:
+    """docs with the text that is left, and the names of three new columns: the row as it was, its lines, and how many went."""
+    drops = dropped_lines(docs)
+    row, gone, n = (free_name(docs.columns, c) for c in ("row", "gone", "n"))
+    drops = drops.select(F.col("doc").alias("doc"), F.col("drops").alias(gone))
+    rows = docs.select(doc_key().alias("doc"), F.struct(*docs.columns).alias(row)).join(drops, "doc", "left")
+    rows = rows.withColumn("cut", F.expr(rf"split(coalesce({row}.text, ''), '\n', -1)"))
+    left = f"transform(array_except(sequence(0, size(cut) - 1), {gone}), i -> get(cut, i))"
+    text = F.expr(f"if({gone} is null, {row}.text, array_join({left}, '\n'))")
+    rows = rows.select(row, text.alias("text"), F.size("cut").cast("long").alias(n), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(gone))
+    return rows, row, n, gone
 
 
 def deduped(docs: DataFrame) -> DataFrame:
-    """docs with the text that is left, and __lines and __dropped, the counts before and of what went."""
-    drops = saved(dropped_lines(docs).select(F.col("doc").alias("__gone"), F.col("drops").alias("__drops")), "drops")
-    rows = docs.withColumn("__key", doc_key()).join(drops, F.col("__key") == F.col("__gone"), "left")
-    rows = rows.withColumn("__l", F.expr(r"split(coalesce(text, ''), '\n', -1)"))
-    left = "transform(array_except(sequence(0, size(__l) - 1), __drops), i -> get(__l, i))"
-    return (
-        rows.withColumn("text", F.expr(f"if(__drops is null, text, array_join({left}, '\n'))"))
-        .withColumn("__lines", F.size("__l").cast("long"))
-        .withColumn("__dropped", F.coalesce(F.size("__drops"), F.lit(0)).cast("long"))
-        .drop("__l", "__drops", "__key", "__gone")
-    )
+    """doc_id, n_lines, n_dropped and the text that is left, for every row of docs."""
+    rows, row, n, gone = _without_drops(docs)
+    return rows.select(F.col(row)["doc_id"].alias("doc_id"), F.col(n).alias("n_lines"), F.col(gone).alias("n_dropped"), "text")
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
-    """The documents with their repeated lines gone; one that had words and has none left goes."""
-    rows = deduped(docs)
+    """The documents with their repeated lines gone, with all their columns; one that had words and has none left goes."""
+    rows, row, _, gone = _without_drops(docs)
     left = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return rows.where((F.col("__dropped") == 0) | left).select(*docs.columns)
+    columns = [F.col("text") if c.lower() == "text" else F.col(row)[c].alias(c) for c in docs.columns]
+    return rows.where((F.col(gone) == 0) | left).select(*columns)
 
 
 def op10_line_dedup(spark, sf_dir) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return deduped(docs).select(
-        "doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), "text"
-    )
+    return deduped(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

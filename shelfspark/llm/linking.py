@@ -3,9 +3,9 @@
 Rows (key, node, ...) say that a node has a key; nodes that share a key may be linked.
 ``link`` first tests each node against two others under each key only, the one before
 it in an order that puts like nodes side by side and the weightiest one, and joins
-what is linked into components. Then every pair under a key whose nodes are still in different components is tested.
+what is linked into components. Then the pairs under a key whose nodes are still in different components are tested.
 No pair that could join two components is left out, and a large group of copies costs
-a chain, not the square of its size.
+a chain, not the square of its size. Sides are broadcast only where Spark finds them small at run time.
 """
 
 from __future__ import annotations
@@ -15,14 +15,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, small
+from .common import discard, saved
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node and root (its component's smallest node) for every node in links (a, b).
+    """node and root (its component's smallest node) for every node in links (a, b), as a saved table.
 
     Rounds of large-star and small-star; each round is a table in the shared folder, so
-    a lost executor repeats no earlier round. Minima are aggregated before they are joined.
+    a lost executor repeats no earlier round, and takes the place of the round before it.
+    Minima are aggregated before they are joined.
     """
     edges = saved(_clean(links.select("a", "b")), "edges")
     state = _state(edges)
@@ -34,33 +35,33 @@ def components(links: DataFrame) -> DataFrame:
         big = _clean(big)
         # small-star: the smaller neighbours and the node itself are tied to the smallest one
         least = big.groupBy("a").agg(F.min("b").alias("m"))
-        small = big.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = saved(_clean(small.unionByName(least.select("a", F.col("m").alias("b")))), "edges")
-        before, state = state, _state(edges)
+        near = big.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        new = saved(_clean(near.unionByName(least.select("a", F.col("m").alias("b")))), "edges")
+        discard(edges)
+        edges, before, state = new, state, _state(new)
         if before == state:
             break
     roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    return saved(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    found = saved(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    discard(edges)
+    return found
 
 
 def _clean(edges: DataFrame) -> DataFrame:
     """Edges from the larger node to the smaller one, once each."""
-    return (
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
+    return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-    ).first()
+    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
     return row["n"], row["h"]
 
 
 def shared(rows: DataFrame) -> DataFrame:
     """The rows whose key belongs to at least two different nodes."""
     key = Window.partitionBy("key")
-    return rows.withColumn("__shared", F.min("node").over(key) < F.max("node").over(key)).where("__shared").drop("__shared")
+    rows = rows.withColumn("__shared", F.min("node").over(key) < F.max("node").over(key))
+    return rows.where("__shared").drop("__shared")
 
 
 def link(
@@ -70,15 +71,16 @@ def link(
     may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """node and root of every linked node.
+    """node and root of every linked node, as a saved table.
 
-    rows: a saved table (key, node, ...) of shared keys, each key and node once. order: columns that put like nodes
-    side by side. weight: column whose largest value makes a key's hub. may(x, y): a filter on two rows of a key, x before y in this order; x and y give a
-    column by name. verify: keeps the linked ones of distinct pairs (a, b).
+    rows: a saved table (key, node, ...) of shared keys, each key and node once. order: columns that
+    put like nodes side by side. weight: column whose largest value makes a key's hub. may(x, y): a
+    filter on two rows of a key; x and y give a column by name. verify: keeps the linked ones of
+    distinct pairs (a, b), as a saved table.
     """
-    held = rows.select("key", F.struct(*[c for c in rows.columns if c != "key"]).alias("y"))
-    cols = [F.col(f"y.{c}").asc() for c in [*order, "node"]]
-    place = Window.partitionBy("key").orderBy(*cols)
+    rest = [c for c in rows.columns if c != "key"]
+    held = rows.select("key", F.struct(*rest).alias("y"))
+    place = Window.partitionBy("key").orderBy(*[F.col(f"y.{c}").asc() for c in [*order, "node"]])
     hub = F.max(F.struct(f"y.{weight}", "y.node", "y")).over(Window.partitionBy("key"))["y"]
     near = held.select("y", F.lag("y").over(place).alias("before"), hub.alias("hub"))
     near = near.select("y", F.explode(F.array("before", "hub")).alias("x"))
@@ -86,23 +88,25 @@ def link(
     first = verify(tried)
     roots = components(first)
 
-    named = rows.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The only pair of a key with two nodes is tested already.
     many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    many = saved(many.where("lo <> hi and n > 2").select("key"), "many-keys")
-    open_ = saved(named.join(small(many), "key"), "open-keys")
-    packed = open_.select("key", F.struct(*[c for c in open_.columns if c != "key"]).alias("y"))
+    many = many.where("lo <> hi and n > 2").select("key")
+    open_ = saved(named.join(many, "key"), "open-keys")
+    packed = open_.select("key", F.struct(*rest, "root").alias("y"))
     other = packed.withColumnRenamed("y", "x")
-    before = None
-    for c in reversed([*order, "node"]):
-        less, same = F.col(f"x.{c}") < F.col(f"y.{c}"), F.col(f"x.{c}") == F.col(f"y.{c}")
-        before = less if before is None else less | (same & before)
-    rest = packed.join(other, "key").where(F.col("x.root") != F.col("y.root")).where(before)
-    rest = _pairs(rest, may).join(tried, ["a", "b"], "left_anti")
-    second = verify(saved(rest, "far-pairs"))
+    apart = (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))
+    # The filter stands in the join, so that a pair that fails it never becomes a row.
+    far = packed.join(other, "key").where(apart & _may(may))
+    far = far.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    second = verify(saved(far.join(tried, ["a", "b"], "left_anti"), "far-pairs"))
     return components(first.unionByName(second))
 
 
+def _may(may) -> Column:
+    return may(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
+
+
 def _pairs(rows: DataFrame, may) -> DataFrame:
-    rows = rows.where(may(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
+    rows = rows.where(_may(may))
     return rows.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()

@@ -1,11 +1,8 @@
-"""A plain second version of the line dedup: all pairs of different lines, with own SimHash bits."""
+"""A plain second version of the line dedup: the edit distance of all pairs of different lines; knows no keys."""
 
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
-
-from shelfspark.llm import line_dedup as L
+SIGNS = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
 
 
 def plain_distance(a, b):
@@ -17,15 +14,23 @@ def plain_distance(a, b):
     return row[-1]
 
 
-def normal(line):
-    return " ".join(w for w in (x.strip(L.SIGNS) for x in line.lower().split()) if w)
+def within(a, b, most):
+    """Whether the distance is at most that: the table's cells near its diagonal, row by row."""
+    far = most + 1
+    row = {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        old, row = row, {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            best = min(old.get(j, far) + 1, row.get(j - 1, far) + 1, old.get(j - 1, far) + (x != b[j - 1])) if j else i
+            if best < far:
+                row[j] = best
+        if not row:
+            return False
+    return row.get(len(b), far) <= most
 
 
-def simhash(line):
-    words = L.hash_strings(pa.array(line.split()))
-    _, hashes = L.shingles(np.array([0, len(words)]), words, 2)
-    hashes = hashes.tolist()
-    return sum((2 * sum(h >> k & 1 for h in hashes) > len(hashes)) << k for k in range(64))
+def normal(line):
+    return " ".join(w for w in (x.strip(SIGNS) for x in line.lower().split()) if w)
 
 
 def dedup(rows):
@@ -36,7 +41,6 @@ def dedup(rows):
             if n := normal(line):
                 spots.setdefault(n, []).append((d, i))
     lines = list(spots)
-    sims = [simhash(x) for x in lines]
     parent = list(range(len(lines)))
 
     def find(i):
@@ -45,10 +49,10 @@ def dedup(rows):
         return i
 
     for i, j in combinations(range(len(lines)), 2):
-        if (sims[i] ^ sims[j]).bit_count() <= L.BITS:
-            a, b = lines[i], lines[j]
-            if plain_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9):
-                parent[find(i)] = find(j)
+        a, b = lines[i], lines[j]
+        most = int(0.1 * max(len(a), len(b)) + 1e-9)
+        if abs(len(a) - len(b)) <= most and within(a, b, most):
+            parent[find(i)] = find(j)
     groups = {}
     for i, x in enumerate(lines):
         groups.setdefault(find(i), []).extend(spots[x])

@@ -313,7 +313,7 @@ def test_lines_with_a_changed_letter_meet(spark):
             line = "start" + " ".join(r.choice(vocab) for _ in range(r.randint(low, high)))
             at = r.choice([x for x, c in enumerate(line) if c != " "])
             rows += [(1000 * k + 2 * i, line, "s"), (1000 * k + 2 * i + 1, line[:at] + "z" + line[at + 1 :], "s")]
-    got = {d["doc_id"]: d["__dropped"] for d in line_dedup.deduped(make(spark, rows)).select("doc_id", "__dropped").collect()}
+    got = {d["doc_id"]: d["n_dropped"] for d in line_dedup.deduped(make(spark, rows)).collect()}
     for k in range(len(kinds)):
         assert sum(got[1000 * k + 2 * i + 1] for i in range(60)) >= 54
     assert not any(n for d, n in got.items() if d % 2 == 0)
