@@ -1,16 +1,18 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Training texts give counts of words and of word pairs. A count c is stored by its
+Training texts give counts of words, word pairs and triples. A count c is stored by its
 level 1 + floor(log2 c): the n-gram is put into the filter once for each level up to its
-own, so the level comes back from repeated membership probes. The filter has a fixed
-number of bits, is cut into segments by hash, and goes to the workers as a broadcast of
-at most FILTER_BITS / 8 bytes. N-grams seen once are not stored (LEAST_COUNT); if a segment
-is full, its rarest n-grams are left out, which is what bounds false positives.
+own, so the level comes back from repeated membership probes. The filter is cut into segments by
+hash; each has the room that its levels need, so it grows with the corpus and no n-gram is left out.
 
-The probability of a word after another is MIX * c(pair) / c(first) + (1 - MIX) *
-(c(word) + 1) / (N + V + 1) with the filter's counts; ``score`` adds up its log10. ``base_score``
-uses exact word counts: documents are dealt into blocks, each block sends its
-distinct words by hash, the totals come back to the block.
+While the whole filter is bound to fit BROADCAST_BITS, it is broadcast and every text
+probes it. Beyond that its segments stay where they were built and the probes go there: documents are
+dealt into blocks, a block sends its distinct n-grams to the segments, and the levels come
+back in the block's order. The exact word counts of ``base_score`` always take that way. Both ways give the same levels.
+
+With count estimates c (the middle of a level) the probabilities are
+p1 = (c(w) + 1) / (N + V + 1), p2 = MIX c(vw) / c(v) + (1 - MIX) p1 and p3 = MIX c(uvw) / c(uv) + (1 - MIX) p2;
+where a history was never seen, the shorter one's probability stands. ``score`` adds up log10 p3.
 
 Edge cases: a null or empty text is one end token; a null doc_id is training; repeated
 rows count each time; an empty table gives no rows. Words are told apart by 64-bit hash.
@@ -18,28 +20,24 @@ rows count each time; an empty table gives no rows. Words are told apart by 64-b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, scratch
 from .words import hash_strings, mixed, slices, split_words, sums
 
-FILTER_BITS = 1 << 28
-LEAST_COUNT = 2
-#: Bits of the filter for each stored level of an n-gram, at least.
-BITS_A_LEVEL = 8
-MIX = 0.3
-#: N-grams a task gathers before it counts them, tokens to a segment, text bytes to a block.
-GATHER, SEGMENT_TOKENS, BLOCK_BYTES = 2 << 20, 500_000, 6 << 20
-#: Parts by hash of the exact word counts.
-WORD_PARTS = 256
+#: A filter that may need more bits than this is not broadcast.
+BROADCAST_BITS = 1 << 28
+#: Bits of the filter for each stored level of an n-gram, at least, and places of a level.
+BITS_A_LEVEL, PLACES = 12, 4
+MIX = 0.5
+#: Training tokens to a segment, text bytes to a block.
+SEGMENT_TOKENS, BLOCK_BYTES = 500_000, 8 << 20
 
 _END = np.uint64(0xE4D0C8F15A3B7921)
-_PAIR, _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
+_NEXT, _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -52,43 +50,42 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, items
 
 
-def ngrams(offsets: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each token alone and of each with the one before it; a text's first token follows the end token."""
-    before = np.concatenate([np.full(1, _END, np.uint64), items[:-1]])
-    before[offsets[:-1]] = _END
-    return mixed(items ^ _PAIR), mixed(before * _PAIR + items)
+def _before(offsets: np.ndarray, items: np.ndarray, first) -> np.ndarray:
+    """What stands before each item; first for the first one of a text."""
+    out = np.concatenate([items[:1], items[:-1]])
+    out[offsets[:-1]] = first
+    return out
 
 
-class LogBloom:
-    """Segments of bits; n-gram hashes find their segment by their top bits."""
+def ngrams(offsets: np.ndarray, items: np.ndarray) -> list[np.ndarray]:
+    """Hashes of each token alone, with the one before it and with the two before it; texts follow on end tokens."""
+    pairs = mixed(_before(offsets, items, _END) * _NEXT + items)
+    # A triple is the pair before the token and the token.
+    ends = mixed(np.array([_END], np.uint64) * _NEXT + _END)[0]
+    return [mixed(items ^ _NEXT), pairs, mixed((_before(offsets, pairs, ends) ^ _LEVEL) * _NEXT + items)]
 
-    def __init__(self, segments: int, bits: int):
-        self.top = segments.bit_length() - 1
-        self.room = bits // segments
-        self.bits = np.zeros(bits // 8, np.uint8)
 
-    def marked(self, words: np.ndarray, pairs: np.ndarray) -> list[np.ndarray]:
-        """The hashes with the lowest bit of their keys telling words (0) from pairs (1)."""
-        bit = np.uint64(1 << 32 - self.top)
-        return [words & ~bit, pairs | bit]
-
-    def split(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Segment, and the next 32 bits as the key within it."""
-        return (hashes >> np.uint64(64 - self.top)).astype(np.int64), (hashes >> np.uint64(32 - self.top)).astype(np.uint32)
+class LogBloom:
+    """Segments of bits; an n-gram's hash finds its segment by the top bits, and the next 32 are its key there."""
 
-    def place(self, segment, h: np.ndarray, k: int) -> np.ndarray:
-        """The k-th of three places for the mixed hash h of a key and a level."""
-        return segment * self.room + ((h >> np.uint64(21 * k)) & np.uint64(self.room - 1)).astype(np.int64)
+    def __init__(self, segments: list[np.ndarray]):
+        self.top = len(segments).bit_length() - 1
+        sizes = np.array([8 * len(x) for x in segments], np.int64)
+        self.mask, self.start = (sizes - 1).astype(np.uint64), np.cumsum(sizes) - sizes
+        self.bits = np.concatenate(segments)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
-        """The level of each n-gram: probes go on, level by level, for those that hit all three places."""
-        segment, keys = self.split(hashes)
-        level = np.zeros(len(hashes), np.int64)
-        live = np.arange(len(hashes))
+        return self.levels_at(*split(hashes, self.top))
+
+    def levels_at(self, segment: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The level of each n-gram: probes go on, level by level, for those that hit all places."""
+        level = np.zeros(len(keys), np.uint8)
+        live = np.arange(len(keys))
         for j in range(1, 63):
             h = mixed(keys[live].astype(np.uint64) * _LEVEL + np.uint64(j))
-            for k in range(3):
-                at = self.place(segment[live], h, k)
+            for k in range(PLACES):
+                s = segment[live]
+                at = self.start[s] + (place(h, k) & self.mask[s]).astype(np.int64)
                 hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
                 live, h = live[hit], h[hit]
             if not len(live):
@@ -96,219 +93,195 @@ class LogBloom:
             level[live] = j
         return level
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """The middle of the counts that have the n-gram's level, 0 for none."""
-        level = self.levels(hashes)
-        return np.where(level > 0, (1.5 * 2.0 ** (level - 1)) - 0.5, 0.0)
+
+def split(hashes: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    segment = (hashes >> np.uint64(64 - top)).astype(np.int64) if top else np.zeros(len(hashes), np.int64)
+    return segment, (hashes >> np.uint64(32 - top)).astype(np.uint32)
+
+
+def place(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th place for the mixed hash of a key and a level."""
+    return (h & np.uint64(0xFFFFFFFF)) + np.uint64(k) * (h >> np.uint64(32) | np.uint64(1))
 
 
-def segment_bits(keys: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
-    """The bits of one segment, from its keys with their counts."""
-    some = counts >= LEAST_COUNT
-    order = np.argsort(-counts[some], kind="stable")
-    keys, level = keys[some][order], np.floor(np.log2(counts[some][order])).astype(np.int64) + 1
-    fit = np.cumsum(level) <= room // BITS_A_LEVEL
-    keys, level = keys[fit], level[fit]
-    one = LogBloom(1, room)
+def segment_bits(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The bits of one segment, from its different keys with their counts above 0."""
+    level = np.floor(np.log2(counts)).astype(np.int64) + 1
+    room = max(64, 1 << (BITS_A_LEVEL * int(level.sum()) - 1).bit_length()) if len(keys) else 64
     bits = np.zeros(room, np.uint8)
     for j in range(1, int(level.max(initial=0)) + 1):
         h = mixed(keys[level >= j].astype(np.uint64) * _LEVEL + np.uint64(j))
-        for k in range(3):
-            bits[one.place(0, h, k)] = 1
+        for k in range(PLACES):
+            bits[place(h, k) & np.uint64(room - 1)] = 1
     return np.packbits(bits, bitorder="little")
 
 
-def build_filter(training: DataFrame, size: int) -> tuple[LogBloom, int]:
-    """The filter over all training texts, counted by segment and never as a whole, and the smoothing's N + V + 1.
-
-    size: about how many tokens there are; it sets the segments and bits.
-    """
-    segments = max(16, 1 << max(0, (size // SEGMENT_TOKENS)).bit_length())
-    bits = max(segments << 6, min(FILTER_BITS, 1 << (4 * size).bit_length()))
-    model = LogBloom(segments, bits)
-    room = model.room
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keys that came once, and keys with counts, of each segment."""
-        frame = LogBloom(segments, segments << 6)
-        held: list[np.ndarray] = []
-        size = 0
-
-        def counted():
-            total = [size // 2] + [0] * (segments - 1)
-            items, counts = np.unique(np.concatenate(held), return_counts=True)
-            segment, keys = frame.split(items)
-            cuts = np.searchsorted(segment, np.arange(segments + 1))
-            once, more, times = [], [], []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                one = counts[a:b] == 1
-                once.append(keys[a:b][one].tobytes())
-                more.append(keys[a:b][~one].tobytes())
-                times.append(counts[a:b][~one].astype(np.uint32).tobytes())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(segments, dtype=np.int32)), *(pa.array(c, pa.binary()) for c in (once, more, times)), pa.array(total, pa.int64())],
-                names=["segment", "once", "more", "times", "tokens"],
-            )
+def estimate(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts that have the level, 0 for none."""
+    return np.where(level > 0, 1.5 * np.exp2(level.astype(np.float64) - 1) - 0.5, 0.0)
+
+
+def _column(batch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _read_block(block: pa.Table) -> tuple[list[pa.RecordBatch], list[np.ndarray], list[np.ndarray]]:
+    batches = list(slices(iter(block.combine_chunks().to_batches())))
+    pairs = [tokens(_column(b, "text")) for b in batches]
+    return batches, [o for o, _ in pairs], [w for _, w in pairs]
 
-        for batch in slices(batches):
-            held += frame.marked(*ngrams(*tokens(batch.column(0))))
-            size += len(held[-1]) * 2
-            if size >= GATHER:
-                yield counted()
-                held, size = [], 0
-        if held:
-            yield counted()
-
-    def finish(key: tuple, group: pa.Table) -> pa.Table:
-        read = lambda name: np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint32)
-        once, more, times = (read(n) for n in ("once", "more", "times"))
-        keys, at = np.unique(np.concatenate([once, more]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([np.ones(len(once)), times]), minlength=len(keys))
+
+def _numbered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers in ascending order, and the place of each number among them."""
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return np.unique(flat, return_inverse=True)
+
+
+def _asker(top: int):
+    def ask(key: tuple, block: pa.Table) -> pa.Table:
+        """The block's different words and n-grams by segment, with their counts in training texts."""
+        batches, offsets, words = _read_block(block)
+        train = np.concatenate([np.repeat(_column(b, "train").to_numpy(zero_copy_only=False), np.diff(o)) for b, o in zip(batches, offsets, strict=True)])
+        out, cuts = {}, {}
+        grams = [ngrams(o, w) for o, w in zip(offsets, words, strict=True)]
+        for name, parts, weight in (("word", words, train), ("gram", [g[k] for k in range(3) for g in grams], np.tile(train, 3))):
+            different, at = _numbered(parts)
+            counts = np.bincount(at, weight, minlength=len(different)).astype(np.uint32)
+            segment, keys = split(different, top)
+            cuts[name] = np.searchsorted(segment, np.arange((1 << top) + 1))
+            out[name] = (different if name == "word" else keys), counts
+        pieces = lambda name, k: [out[name][k][a:b].tobytes() for a, b in zip(cuts[name][:-1], cuts[name][1:], strict=True)]
+        n = 1 << top
         return pa.table(
             {
-                "segment": pa.array([key[0].as_py()], pa.int32()),
-                "bits": pa.array([segment_bits(keys, counts, room).tobytes()], pa.binary()),
-                "tokens": pa.array([sum(group.column("tokens").to_pylist())], pa.int64()),
-                "words": pa.array([int((keys & 1 == 0).sum())], pa.int64()),
+                "segment": pa.array(np.arange(n, dtype=np.int32)),
+                "block": pa.array([key[0].as_py()] * n, pa.int64()),
+                **{f"{name}{end}": pa.array(pieces(name, k), pa.binary()) for name in ("word", "gram") for k, end in ((0, "s"), (1, "_counts"))},
             }
         )
 
-    parts = training.select("text").mapInArrow(gather, "segment int, once binary, more binary, times binary, tokens long")
-    parts = parts.groupBy("segment").applyInArrow(finish, "segment int, bits binary, tokens long, words long")
-    step, total = room // 8, 1
-    for row in saved(parts, "filter").toLocalIterator():
-        model.bits[row["segment"] * step : (row["segment"] + 1) * step] = np.frombuffer(row["bits"], np.uint8)
-        total += row["tokens"] + row["words"]
-    return model, total
-
-
-def _block_tokens(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for batch in slices(iter(table.combine_chunks().to_batches())):
-        yield batch, *tokens(batch.column(batch.schema.get_field_index("text")))
-
-
-def _word_parts(key: tuple, group: pa.Table) -> pa.Table:
-    """The block's distinct words by part, with their counts in training texts."""
-    items, weights = [], []
-    for batch, offsets, words in _block_tokens(group):
-        train = batch.column(batch.schema.get_field_index("train")).to_numpy(zero_copy_only=False)
-        items.append(words)
-        weights.append(np.repeat(train, np.diff(offsets)))
-    words, at = np.unique(np.concatenate(items), return_inverse=True)
-    counts = np.bincount(at, np.concatenate(weights), minlength=len(words)).astype(np.uint32)
-    cuts = np.searchsorted(words >> np.uint64(56), np.arange(WORD_PARTS + 1).astype(np.uint64))
-    pairs = list(zip(cuts[:-1], cuts[1:], strict=True))
-    return pa.table(
-        {
-            "part": pa.array(np.arange(WORD_PARTS, dtype=np.int32)),
-            "block": pa.array([key[0].as_py()] * WORD_PARTS, pa.int64()),
-            "words": pa.array([words[a:b].tobytes() for a, b in pairs], pa.binary()),
-            "counts": pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary()),
-        }
-    )
+    return ask
 
 
-def _total_parts(key: tuple, group: pa.Table) -> pa.Table:
-    """The totals of the part's words, sent back to each block in its own order; the first row has the part's sums."""
-    words = [np.frombuffer(w, np.uint64) for w in group.column("words").to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in group.column("counts").to_pylist()])
-    _, at = np.unique(np.concatenate(words), return_inverse=True)
-    total = np.bincount(at, counts).astype(np.int64) if len(at) else np.zeros(0, np.int64)
-    back = np.split(total[at], np.cumsum([len(w) for w in words])[:-1])
-    first = [1] + [0] * (len(words) - 1)
-    return pa.table(
-        {
-            "block": group.column("block"),
-            "part": group.column("part"),
-            "totals": pa.array([b.tobytes() for b in back], pa.binary()),
-            "tokens": pa.array([int(total.sum()) * f for f in first], pa.int64()),
-            "known": pa.array([int((total > 0).sum()) * f for f in first], pa.int64()),
-        }
-    )
+ASKED = "segment int, block long, words binary, word_counts binary, grams binary, gram_counts binary"
+ANSWER = "block long, segment int, totals binary, levels binary, tokens long, known long, bits binary"
+
+
+def _answerer(whole: bool):
+    def answer(key: tuple, asked: pa.Table) -> pa.Table:
+        """Word totals and levels for each block in its own order; the first row has the segment's sums, and its bits if they are wanted."""
+        read = lambda name, kind: [np.frombuffer(x, kind) for x in asked.column(name).to_pylist()]
+
+        def total(name: str, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+            parts = read(f"{name}s", kind)
+            different, at = _numbered(parts)
+            sums_ = np.bincount(at, np.concatenate(read(f"{name}_counts", np.uint32)), minlength=len(different)).astype(np.int64)
+            return different, sums_, at, np.cumsum([len(x) for x in parts])[:-1]
+
+        _, totals, at, ends = total("word", np.uint64)
+        back = [x.tobytes() for x in np.split(totals[at], ends)]
+        keys, counts, at, ends = total("gram", np.uint32)
+        bits = segment_bits(keys[counts > 0], counts[counts > 0])
+        n = asked.num_rows
+        if whole:
+            levels = [b""] * n
+        else:
+            level = LogBloom([bits]).levels_at(np.zeros(len(keys), np.int64), keys)
+            levels = [x.tobytes() for x in np.split(level[at], ends)]
+        return pa.table(
+            {
+                "block": asked.column("block"),
+                "segment": asked.column("segment"),
+                "totals": pa.array(back, pa.binary()),
+                "levels": pa.array(levels, pa.binary()),
+                "tokens": pa.array([int(totals.sum())] + [0] * (n - 1), pa.int64()),
+                "known": pa.array([int((totals > 0).sum())] + [0] * (n - 1), pa.int64()),
+                "bits": pa.array([bits.tobytes() if whole else None] + [None] * (n - 1), pa.binary()),
+            }
+        )
 
+    return answer
 
-def _scorer(sent, denominator: float):
-    def score(block: pa.Table, replies: pa.Table) -> pa.Table:
-        """A row per document, and one without base with the sums that came with the replies."""
-        model = sent.value
-        replies = replies.sort_by("part")
-        totals = np.frombuffer(b"".join(replies.column("totals").to_pylist()), np.int64)
-        batches = list(_block_tokens(block))
-        words = np.unique(np.concatenate([w for _, _, w in batches])) if batches else np.zeros(0, np.uint64)
-        logs = np.log10(totals + 1.0)
-        alone = model.counts(model.marked(mixed(words ^ _PAIR), words)[0])
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
+
+
+def chances(words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, offsets: np.ndarray, n: float) -> np.ndarray:
+    """The probability of each token from the count estimates of its n-grams; n is N + V + 1."""
+    end = words[offsets[1] - 1]  # each text ends with the end token, and follows on one
+    p = (words + 1) / n
+    for counts, history in ((pairs, _before(offsets, words, end)), (triples, _before(offsets, pairs, 0.0))):
+        seen = history > 0
+        share = np.minimum(counts / np.where(seen, history, 1.0), 1.0)
+        p = np.where(seen, MIX * share + (1 - MIX) * p, p)
+    return p
+
+
+def _scorer(n: float, sent):
+    def score(block: pa.Table, answers: pa.Table) -> pa.Table:
+        """A row for each document of the block."""
+        batches, offsets, words = _read_block(block)
+        answers = answers.sort_by("segment")
+        totals = np.frombuffer(b"".join(answers.column("totals").to_pylist()), np.int64)
+        _, at = _numbered(words)
+        grams = [ngrams(o, w) for o, w in zip(offsets, words, strict=True)]
+        if sent is None:
+            _, place_ = _numbered([g[k] for k in range(3) for g in grams])
+            counts = estimate(np.frombuffer(b"".join(answers.column("levels").to_pylist()), np.uint8))[place_].reshape(3, -1)
+        ends = np.cumsum([0, *map(len, words)])
         out = []
-        for batch, offsets, items in batches:
-            at = np.searchsorted(words, items)
-            before = np.concatenate([[np.searchsorted(words, _END)], at[:-1]])
-            before[offsets[:-1]] = np.searchsorted(words, _END)
-            pair = model.counts(model.marked(*ngrams(offsets, items))[1])
-            first = alone[before]
-            share = np.where(first > 0, np.minimum(pair / np.maximum(first, 1.0), 1.0), 0.0)
-            chance = MIX * share + (1 - MIX) * (alone[at] + 1) / denominator
-            exact = sums(offsets, logs[at])
+        for i, (batch, o) in enumerate(zip(batches, offsets, strict=True)):
+            some = slice(ends[i], ends[i + 1])
+            total = totals[at[some]]
+            three = [estimate(sent.value.levels(g)) for g in grams[i]] if sent else counts[:, some]
             out.append(
                 pa.table(
                     {
-                        "doc_id": batch.column(batch.schema.get_field_index("doc_id")),
-                        "held_out": pa.array(batch.column(batch.schema.get_field_index("train")).to_numpy(zero_copy_only=False) == 0),
-                        "n_tokens": pa.array(np.diff(offsets)),
-                        "n_known": pa.array(sums(offsets, (totals[at] > 0).astype(np.int64))),
-                        "logs": pa.array(exact),
-                        "score": pa.array(sums(offsets, np.log10(chance))),
-                        "tokens": pa.nulls(batch.num_rows, pa.int64()),
-                        "known": pa.nulls(batch.num_rows, pa.int64()),
+                        "doc_id": _column(batch, "doc_id"),
+                        "held_out": pa.array(_column(batch, "train").to_numpy(zero_copy_only=False) == 0),
+                        "n_tokens": pa.array(np.diff(o)),
+                        "n_known": pa.array(sums(o, (total > 0).astype(np.int64))),
+                        "logs": pa.array(sums(o, np.log10(total + 1.0))),
+                        "score": pa.array(sums(o, np.log10(chances(*three, o, n)))),
                     }
                 )
             )
-        tail = {n: pa.nulls(1, t) for n, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()))}
-        tail |= {n: pa.array([sum(replies.column(n).to_pylist())], pa.int64()) for n in ("tokens", "known")}
-        return pa.concat_tables([*out, pa.table(tail)])
+        return pa.concat_tables(out)
 
     return score
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, broadcast_bits: int = BROADCAST_BITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
-    spark = docs.sparkSession
-    text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
+        F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce((F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2).cast("int"), F.lit(1)).alias("train"),
     )
-    # The number of words is one more than that of the gaps at most; it only sizes the filter and the blocks.
-    size = rows.agg(
-        F.sum(F.octet_length("text")).alias("bytes"),
-        F.sum(F.when(F.col("train") == 1, F.length("text") - F.length(F.translate("text", " \n", "")) + 2)).alias("tokens"),
-    ).first()
-    n_bytes = size["bytes"] or 0
-    model, total = build_filter(rows.where("train = 1"), size["tokens"] or 0)
-    sent = spark.sparkContext.broadcast(model)
-    blocks = max(1, -(-n_bytes // BLOCK_BYTES))
+    # Words are at most one more than the gaps that part them; this sizes segments and blocks and bounds the filter.
+    gaps = F.length("text") - F.length(F.translate("text", " \t\n\x0b\x0c\r", "")) + 2
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(gaps).alias("tokens")).first()
+    n_tokens = size["tokens"] or 0
+    top = max(4, (n_tokens // SEGMENT_TOKENS).bit_length())
+    # A count has no more levels than its value, so the levels are at most three times the tokens; rooms are rounded up to a power of two.
+    whole = 2 * 3 * BITS_A_LEVEL * n_tokens + (64 << top) <= broadcast_bits
+    blocks = max(1, -(-(size["bytes"] or 0) // BLOCK_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    parts = dealt.groupBy("block").applyInArrow(_word_parts, "part int, block long, words binary, counts binary")
-    replies = parts.groupBy("part").applyInArrow(_total_parts, "block long, part int, totals binary, tokens long, known long")
-    scored = (
-        dealt.groupBy("block")
-        .cogroup(replies.groupBy("block"))
-        .applyInArrow(
-            _scorer(sent, float(total)),
-            "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, tokens long, known long",
-        )
-    )
-    scored = saved(scored, "scores")
-    sums_ = scored.where("tokens is not null").agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).first()
-    n, v = sums_["n"] or 0, sums_["v"] or 0
-    return scored.where("tokens is null").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"),
-        "score",
-    )
+    with scratch():
+        asked = dealt.groupBy("block").applyInArrow(_asker(top), ASKED)
+        answers = saved(asked.groupBy("segment").applyInArrow(_answerer(whole), ANSWER), "answers")
+        sums_ = answers.agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).first()
+        n, v = sums_["n"] or 0, sums_["v"] or 0
+        sent = None
+        if whole:
+            found = {r["segment"]: r["bits"] for r in answers.where("bits is not null").select("segment", "bits").toLocalIterator()}
+            segments = [np.frombuffer(found.get(k, b"\0" * 8), np.uint8) for k in range(1 << top)]
+            sent = docs.sparkSession.sparkContext.broadcast(LogBloom(segments))
+        replies = answers.select("block", "segment", "totals", "levels")
+        scored = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_scorer(float(n + v + 1), sent), SCORES)
+        scored = saved(scored, "scores", outer=True)
+    base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def op8_lm_scoring(spark, sf_dir) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact counts and base scores by plain Python."""
+"""Exact counts, base scores and model scores by plain Python."""
 
 import math
 import re
@@ -22,3 +22,31 @@ def base(rows):
         for d, text in rows
         for ts in [tokens(text)]
     }
+
+
+def middle(c):
+    """What is left of a count when only its power of two is kept: the middle of that range."""
+    return 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
+
+
+def scores(rows, mix):
+    """{doc_id: log10 probability} by words, pairs and triples, without a filter's false hits."""
+    held = {d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
+    c = Counter()
+    for d, text in rows:
+        if not held[d]:
+            ts = [None, None, *tokens(text)]
+            for i in range(2, len(ts)):
+                c.update([(ts[i],), (ts[i - 1], ts[i]), (ts[i - 2], ts[i - 1], ts[i])])
+    n = sum(v for k, v in c.items() if len(k) == 1) + sum(len(k) == 1 for k in c) + 1
+    out = {}
+    for d, text in rows:
+        ts, total = [None, *tokens(text)], 0.0
+        for i in range(1, len(ts)):
+            p = (middle(c[ts[i],]) + 1) / n
+            for k in (1, 2):
+                if i >= k and (h := middle(c[tuple(ts[i - k : i])])):
+                    p = mix * min(middle(c[tuple(ts[i - k : i + 1])]) / h, 1.0) + (1 - mix) * p
+            total += math.log10(p)
+        out[d] = total
+    return out
