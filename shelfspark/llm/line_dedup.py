@@ -18,7 +18,6 @@ empty text; the filter ``drop_lines`` then leaves it out.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,30 +205,87 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
-def alike(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether the edit similarity reaches least; quick proofs for and against come before the whole distance."""
-    most = int((1 - least) * max(len(a), len(b)) + 1e-9)
-    if abs(len(a) - len(b)) > most:
-        return False
-    x, y = a.split(" "), b.split(" ")
-    if len(x) == len(y):  # words changed in their places bound the distance from above
-        bound = 0
-        for p, q in zip(x, y, strict=True):
-            if p != q:
-                bound += edit_distance(p, q)
-                if bound > most:
-                    break
+#: Cells of a table that are worked on at once, and the distance from which a pair is taken alone.
+CELLS, FAR = 1 << 16, 500
+
+
+def alike(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarray:
+    """Which pairs of lines reach the edit similarity. Pairs whose words differ in their places only are proven by these words."""
+    good, rest = np.zeros(len(xs), bool), []
+    for i, (a, b) in enumerate(zip(xs, ys, strict=True)):
+        most = int((1 - least) * max(len(a), len(b)) + 1e-9)
+        if abs(len(a) - len(b)) > most:
+            continue
+        x, y = a.split(" "), b.split(" ")
+        if len(x) == len(y):  # these changes bound the distance from above
+            bound = 0
+            for p, q in zip(x, y, strict=True):
+                if p != q:
+                    bound += edit_distance(p, q)
+                    if bound > most:
+                        break
+            else:
+                good[i] = True
+                continue
+        if most > FAR:
+            good[i] = edit_distance(a, b) <= most
         else:
-            return True
-    # An edit spoils at most three runs of three characters.
-    runs = (Counter(zip(a, a[1:], a[2:])) & Counter(zip(b, b[1:], b[2:]))).total()
-    return runs >= max(len(a), len(b)) - 2 - 3 * most and edit_distance(a, b) <= most
+            rest.append((i, *_middles(a, b), most))
+    rest.sort(key=lambda r: len(r[1]))
+    while rest:
+        # Distances grow with lengths, so the last of the first pairs bounds how many go together.
+        n = max(1, min(len(rest), CELLS // (2 * max(r[3] for r in rest[: CELLS // 64]) + 1)))
+        some, rest = rest[:n], rest[n:]
+        good[[r[0] for r in some]] = _within([r[1] for r in some], [r[2] for r in some], np.array([r[3] for r in some]))
+    return good
+
+
+def _middles(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of two lines without the ends that are equal."""
+    x, y = (np.frombuffer(z.encode("utf-32-le"), np.uint32) for z in (a, b))
+    n = min(len(x), len(y))
+    odd = np.flatnonzero(x[:n] != y[:n])
+    k = int(odd[0]) if len(odd) else n
+    x, y, n = x[k:], y[k:], n - k
+    odd = np.flatnonzero(x[::-1][:n] != y[::-1][:n])
+    k = int(odd[0]) if len(odd) else n
+    return x[: len(x) - k], y[: len(y) - k]
+
+
+def _within(xs: list[np.ndarray], ys: list[np.ndarray], most: np.ndarray) -> np.ndarray:
+    """Which pairs have at most that edit distance: of each pair's table the band near the diagonal, for all pairs row by row."""
+    k = int(most.max())
+    la, lb = (np.array([len(x) for x in z]) for z in (xs, ys))
+    a = np.zeros((len(xs), la.max()), np.uint32)
+    b = np.full((len(xs), la.max() + 2 * k + 1), 0xFFFFFFFF, np.uint32)
+    for r, (x, y) in enumerate(zip(xs, ys, strict=True)):
+        a[r, : len(x)], b[r, k : k + len(y)] = x, y
+    # Cells outside the table count as far, which no row brings into doubt.
+    kind = np.int16 if la.max() < 10_000 else np.int32
+    step, far = np.arange(2 * k + 1, dtype=kind), kind(20_000 if kind is np.int16 else 1 << 20)
+    row = np.broadcast_to(np.where(step >= k, step - k, far).astype(kind), (len(xs), 2 * k + 1)).copy()
+    ids = np.arange(len(xs))
+    good = (la == 0) & (lb <= most)
+    for i in range(la.max()):
+        new = row + (b[:, i : i + 2 * k + 1] != a[:, i : i + 1])
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+        row = np.minimum.accumulate(new - step, axis=1) + step
+        done = la == i + 1
+        if done.any():
+            good[ids[done]] = row[done, lb[done] - la[done] + k] <= most[done]
+        if done.any() or i % 16 == 15:  # those at their end, and those that cannot come back below, need no more rows
+            on = ~done & (row.min(axis=1) <= most)
+            if not on.all():
+                row, a, b, la, lb, most, ids = row[on], a[on], b[on], la[on], lb[on], most[on], ids[on]
+                if not len(ids):
+                    break
+    return good
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b, x, y = batch.columns
-        kept = pa.array([alike(p, q) for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True)], pa.bool_())
+        kept = pa.array(alike(x.to_pylist(), y.to_pylist()))
         yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])
 
 
@@ -239,8 +295,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         source = docs.select(doc_key().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
         lines = saved(source.mapInArrow(_describe, LINES), "lines")
         new = lines.where("keys is not null")
-        rows = new.select(F.explode("keys").alias("key"), "node", "sim", "chars")
-        rows = saved(shared(rows).dropDuplicates(["key", "node"]), "line-keys")
+        rows = shared(new.select(F.explode("keys").alias("key"), "node")).dropDuplicates(["key", "node"])
+        rows = saved(rows, "shared-keys")
+        told = new.select("node", "sim", "chars").dropDuplicates(["node"])
+        rows = saved(rows.join(told, "node").select("key", "node", "sim", "chars"), "line-keys")
         table = BitTable(rows.select("node").distinct())
         texts = new.select("node", "words").mapInArrow(_among(table), "node long, words string")
         texts = saved(texts.dropDuplicates(["node"]), "line-texts")
@@ -253,7 +311,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
             full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
             return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
 
-        roots = link(rows, ["sim"], "sim", may, verify)
+        roots = link(rows, ["sim"], "sim", may, verify, few_keys=True)
         # A null doc_id sorts after every number.
         spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
         nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))

@@ -70,13 +70,15 @@ def link(
     weight: str,
     may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     verify: Callable[[DataFrame], DataFrame],
+    few_keys: bool = False,
 ) -> DataFrame:
     """node and root of every linked node, as a saved table.
 
     rows: a saved table (key, node, ...) of shared keys, each key and node once. order: columns that
     put like nodes side by side. weight: column whose largest value makes a key's hub. may(x, y): a
     filter on two rows of a key; x and y give a column by name. verify: keeps the linked ones of
-    distinct pairs (a, b), as a saved table.
+    distinct pairs (a, b), as a saved table. few_keys: a node has so few keys that each of its rows can
+    carry them all; a pair then comes from the first key that both share, and not from each of them.
     """
     rest = [c for c in rows.columns if c != "key"]
     held = rows.select("key", F.struct(*rest).alias("y"))
@@ -93,9 +95,16 @@ def link(
     many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
     many = many.where("lo <> hi and n > 2").select("key")
     open_ = saved(named.join(many, "key"), "open-keys")
-    packed = open_.select("key", F.struct(*rest, "root").alias("y"))
+    more = [*rest, "root"]
+    if few_keys:
+        own = open_.groupBy("node").agg(F.collect_set("key").alias("own"))
+        open_ = open_.join(own, "node").withColumn("own", F.expr("filter(own, k -> k < key)"))
+        more.append("own")
+    packed = open_.select("key", F.struct(*more).alias("y"))
     other = packed.withColumnRenamed("y", "x")
     apart = (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))
+    if few_keys:
+        apart = apart & ~F.arrays_overlap("x.own", "y.own")
     # The filter stands in the join, so that a pair that fails it never becomes a row.
     far = packed.join(other, "key").where(apart & _may(may))
     far = far.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()

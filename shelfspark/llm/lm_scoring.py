@@ -121,6 +121,17 @@ def estimate(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 1.5 * np.exp2(level.astype(np.float64) - 1) - 0.5, 0.0)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count; those from 255 on follow in whole."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, "<i8", -1, n)
+    return counts
+
+
 def _column(batch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -146,11 +157,15 @@ def _asker(top: int):
         grams = [ngrams(o, w) for o, w in zip(offsets, words, strict=True)]
         for name, parts, weight in (("word", words, train), ("gram", [g[k] for k in range(3) for g in grams], np.tile(train, 3))):
             different, at = _numbered(parts)
-            counts = np.bincount(at, weight, minlength=len(different)).astype(np.uint32)
+            counts = np.bincount(at, weight, minlength=len(different)).astype(np.int64)
             segment, keys = split(different, top)
             cuts[name] = np.searchsorted(segment, np.arange((1 << top) + 1))
             out[name] = (different if name == "word" else keys), counts
-        pieces = lambda name, k: [out[name][k][a:b].tobytes() for a, b in zip(cuts[name][:-1], cuts[name][1:], strict=True)]
+
+        def pieces(name: str, k: int) -> list[bytes]:
+            put = pack_counts if k else np.ndarray.tobytes
+            return [put(out[name][k][a:b]) for a, b in zip(cuts[name][:-1], cuts[name][1:], strict=True)]
+
         n = 1 << top
         return pa.table(
             {
@@ -164,7 +179,7 @@ def _asker(top: int):
 
 
 ASKED = "segment int, block long, words binary, word_counts binary, grams binary, gram_counts binary"
-ANSWER = "block long, segment int, totals binary, levels binary, tokens long, known long, bits binary"
+ANSWER = "block long, segment int, totals binary, n_words long, levels binary, tokens long, known long, bits binary"
 
 
 def _answerer(whole: bool):
@@ -175,11 +190,13 @@ def _answerer(whole: bool):
         def total(name: str, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
             parts = read(f"{name}s", kind)
             different, at = _numbered(parts)
-            sums_ = np.bincount(at, np.concatenate(read(f"{name}_counts", np.uint32)), minlength=len(different)).astype(np.int64)
+            counts = [unpack_counts(x, len(p)) for x, p in zip(asked.column(f"{name}_counts").to_pylist(), parts, strict=True)]
+            sums_ = np.bincount(at, np.concatenate(counts), minlength=len(different)).astype(np.int64)
             return different, sums_, at, np.cumsum([len(x) for x in parts])[:-1]
 
         _, totals, at, ends = total("word", np.uint64)
-        back = [x.tobytes() for x in np.split(totals[at], ends)]
+        back = [pack_counts(x) for x in np.split(totals[at], ends)]
+        lengths = np.diff([0, *ends, len(at)])
         keys, counts, at, ends = total("gram", np.uint32)
         bits = segment_bits(keys[counts > 0], counts[counts > 0])
         n = asked.num_rows
@@ -193,6 +210,7 @@ def _answerer(whole: bool):
                 "block": asked.column("block"),
                 "segment": asked.column("segment"),
                 "totals": pa.array(back, pa.binary()),
+                "n_words": pa.array(lengths, pa.int64()),
                 "levels": pa.array(levels, pa.binary()),
                 "tokens": pa.array([int(totals.sum())] + [0] * (n - 1), pa.int64()),
                 "known": pa.array([int((totals > 0).sum())] + [0] * (n - 1), pa.int64()),
@@ -222,7 +240,8 @@ def _scorer(n: float, sent):
         """A row for each document of the block."""
         batches, offsets, words = _read_block(block)
         answers = answers.sort_by("segment")
-        totals = np.frombuffer(b"".join(answers.column("totals").to_pylist()), np.int64)
+        totals = zip(answers.column("totals").to_pylist(), answers.column("n_words").to_pylist(), strict=True)
+        totals = np.concatenate([unpack_counts(x, n) for x, n in totals])
         _, at = _numbered(words)
         grams = [ngrams(o, w) for o, w in zip(offsets, words, strict=True)]
         if sent is None:
@@ -277,7 +296,7 @@ def score_documents(docs: DataFrame, broadcast_bits: int = BROADCAST_BITS) -> Da
             found = {r["segment"]: r["bits"] for r in answers.where("bits is not null").select("segment", "bits").toLocalIterator()}
             segments = [np.frombuffer(found.get(k, b"\0" * 8), np.uint8) for k in range(1 << top)]
             sent = docs.sparkSession.sparkContext.broadcast(LogBloom(segments))
-        replies = answers.select("block", "segment", "totals", "levels")
+        replies = answers.select("block", "segment", "totals", "n_words", "levels")
         scored = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_scorer(float(n + v + 1), sent), SCORES)
         scored = saved(scored, "scores", outer=True)
     base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))

@@ -123,7 +123,11 @@ def test_lines(spark, docs, rows):
 @given(st.text(alphabet="abc", max_size=70), st.text(alphabet="abc", max_size=70))
 @settings(max_examples=150, deadline=None)
 def test_edit_distance(a, b):
-    assert line_dedup.edit_distance(a, b) == brute_lines.plain_distance(a, b)
+    distance = brute_lines.plain_distance(a, b)
+    assert line_dedup.edit_distance(a, b) == distance
+    for share in (0.9, 0.6):
+        most = int((1 - share) * max(len(a), len(b)) + 1e-9)
+        assert line_dedup.alike([a, b, a], [b, a, a], share).tolist() == [distance <= most, distance <= most, True]
 
 
 def test_bpe(spark, docs, rows):
@@ -232,6 +236,11 @@ def test_lm_ways_agree(spark, docs):
     assert both[0] == both[1]
 
 
+def test_packed_counts():
+    x = np.array([0, 1, 254, 255, 256, 1 << 40])
+    assert lm_scoring.unpack_counts(lm_scoring.pack_counts(x), len(x)).tolist() == x.tolist()
+
+
 def test_log_bloom_levels():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << 32, 4000, dtype=np.uint64).astype(np.uint32))
