@@ -34,13 +34,12 @@ _INBOUND = """SELECT lpad(CAST(l_partkey AS STRING),8,'0') AS GoodsNo,
   CASE WHEN l_linenumber=1 THEN l_quantity ELSE CAST((1+l_partkey%4)*6*(1+CAST(l_quantity AS BIGINT)%3) AS DOUBLE) END AS ChQty,
   CAST(date_format(l_shipdate,'yyyyMMdd') AS INT) AS BillDate, CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END AS MoveTypeID FROM {lineitem}"""
 
-_RECEIPTS = """SELECT concat('file', l_suppkey%7) AS file, l_orderkey*10+l_linenumber AS line,
+_RECEIPTS = """SELECT concat('file', l_suppkey%7, '-', date_format(l_shipdate,'yyyyMMdd')) AS file, l_orderkey*10+l_linenumber AS line,
   CASE l_partkey%4 WHEN 0 THEN s.ProductCode WHEN 1 THEN concat(coalesce(s.ProductCode,''),'.0') WHEN 2 THEN s.Barcode ELSE concat('X',CAST(l_partkey AS STRING)) END AS barcode,
   concat('$ ', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING)) AS unit_cost,
   concat(CAST(CAST(l_quantity AS BIGINT) AS STRING), ' pcs') AS qty, p_name AS item_name,
   concat('S', CAST(l_suppkey%7 AS STRING)) AS supplier, CASE WHEN l_suppkey%7=0 THEN 'Yes' ELSE 'No' END AS markup_flag, l_partkey
-  FROM {lineitem} JOIN {part} p ON p.p_partkey=l_partkey JOIN {goods_map} g ON g.p_partkey=l_partkey LEFT JOIN {stock} s ON s.GoodsID=g.GoodsID
-  WHERE l_orderkey%50=0"""
+  FROM {lineitem} JOIN {part} p ON p.p_partkey=l_partkey JOIN {goods_map} g ON g.p_partkey=l_partkey LEFT JOIN {stock} s ON s.GoodsID=g.GoodsID"""
 
 _MAPPING = """SELECT barcode, item_name, min(product_code) AS product_code, 'old' AS supplier, min(l_partkey) AS ord FROM (
   SELECT concat('X',CAST(g.p_partkey AS STRING)) AS barcode, p_name AS item_name, lpad(CAST(g.GoodsID AS STRING),8,'0') AS product_code, g.p_partkey AS l_partkey

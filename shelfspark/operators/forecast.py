@@ -99,22 +99,22 @@ def forecast_next_month(series: DataFrame, fn: Callable[[np.ndarray, int], float
 
 
 def base_demand(labels: DataFrame, sales: DataFrame, series: DataFrame, model: bool = True) -> DataFrame:
-    """labels with Base: run rate for new items, a fit or the last three months for X and Y, the recent peak for Z."""
+    """labels with Base: run rate for new items, a fit or the last three months for X and Y, the recent peak for Z.
+
+    Without model the last three months stand for the fit.
+    """
     named = labels.select("GoodsID", "ABC_Class", "XYZ_Class")
     new = named.where("ABC_Class = 'New'").select("GoodsID")
     steady = named.where("ABC_Class <> 'New' and XYZ_Class in ('X', 'Y')").select("GoodsID")
     rest = named.where("ABC_Class <> 'New' and XYZ_Class not in ('X', 'Y')").select("GoodsID")
     own = series.join(steady, "GoodsID", "left_semi")
     long = own.groupBy("GoodsID").count().where("count >= 12").select("GoodsID")
-    short = trailing_mean(own.join(long, "GoodsID", "left_anti"))
+    short = trailing_mean(own.join(long, "GoodsID", "left_anti") if model else own)
     parts = run_rate(sales.join(new, "GoodsID", "left_semi")).unionByName(short)
     parts = parts.unionByName(z_peak(series.join(rest, "GoodsID", "left_semi")))
     if model:
         parts = parts.unionByName(forecast_next_month(own))
-    rows = labels.join(parts, "GoodsID", "left")
-    if not model:  # without a model, items that would need one are left out
-        rows = rows.join(long, "GoodsID", "left_anti")
-    return rows.withColumn("Base", F.coalesce("Base", "Mean_Monthly_Qty", F.lit(0.0)))
+    return labels.join(parts, "GoodsID", "left").withColumn("Base", F.coalesce("Base", "Mean_Monthly_Qty", F.lit(0.0)))
 
 
 def order_suggestion(plan: DataFrame, moq: float = 12.0) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import fingerprint, safe_name, strip
+from .windows import prefix_sum
 
 
 def product_key(df: DataFrame) -> DataFrame:
@@ -14,6 +15,11 @@ def product_key(df: DataFrame) -> DataFrame:
     return df.withColumn("key", F.coalesce(blank("ProductCode"), blank("Barcode"))).where("key is not null")
 
 
+def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Add place, from 1: each row's number in a total order without ties, found by ranges of the order."""
+    return prefix_sum(df.withColumn("__one", F.lit(1).cast("long")), order, "__one", "place").drop("__one")
+
+
 def doc_id(df: DataFrame, ordinal: str = "ord") -> DataFrame:
     """Add doc_id: the first of ID, SID and Name that is not blank, safe for paths, else row_ and the row's number."""
     tries = [F.nullif(safe_name(F.trim(F.col(c).cast("string"))), F.lit("")) for c in ("ID", "SID", "Name") if c in df.columns]

@@ -95,12 +95,12 @@ _PLAN = (
     + _RATE
     + ", "
     + _PEAK
-    + f""", trail AS (SELECT GoodsID, avg(Qty) AS Base FROM ranked WHERE n <= 3 GROUP BY 1), long AS (SELECT GoodsID FROM dense GROUP BY 1 HAVING count(*) >= 12),
+    + f""", trail AS (SELECT GoodsID, avg(Qty) AS Base FROM ranked WHERE n <= 3 GROUP BY 1),
 base0 AS (SELECT c.*, o.CurrStock, o.Category, TRY_CAST(o.FirstOrderQty AS DOUBLE) AS f FROM classes c JOIN note o USING (GoodsID)),
 base1 AS (SELECT b.*, coalesce(CASE WHEN ABC_Class = 'New' THEN r.Base WHEN XYZ_Class IN ('X', 'Y') THEN t.Base ELSE p.Base END, Mean_Monthly_Qty, 0.0e0) AS base, s.Seasonal_Index AS idx
   FROM base0 b LEFT JOIN rate r USING (GoodsID) LEFT JOIN trail t USING (GoodsID) LEFT JOIN peak p USING (GoodsID)
   LEFT JOIN season s ON s.Category = b.Category AND s.Month = (SELECT month(max(rDate) + INTERVAL 1 MONTH) FROM daily)
-  WHERE ABC_Class IN ('A', 'B', 'New') AND NOT (ABC_Class <> 'New' AND XYZ_Class IN ('X', 'Y') AND b.GoodsID IN (SELECT GoodsID FROM long))),
+  WHERE ABC_Class IN ('A', 'B', 'New')),
 base2 AS (SELECT *, CASE WHEN ABC_Class <> 'New' AND Mean_Monthly_Qty > 0 THEN least(base, Mean_Monthly_Qty * 3) ELSE base END AS capped FROM base1),
 base3 AS (SELECT *, CASE WHEN capped <= 0 AND ABC_Class IN ('A', 'B') AND Mean_Monthly_Qty > 0 THEN Mean_Monthly_Qty ELSE capped END AS b FROM base2),
 base4 AS (SELECT *, b * CASE WHEN ABC_Class = 'New' OR XYZ_Class = 'Z' THEN greatest(1.0e0, least(2.0e0, coalesce(idx, 1.0e0))) ELSE 1.0e0 END AS f2 FROM base3),
@@ -231,7 +231,11 @@ ORACLES = {
   FROM cal c LEFT JOIN ev ON ev.date = c.date WHERE year(c.date) BETWEEN 2023 AND 2025""",
         _CAL,
     ),
-    "next_prev_holiday": W("SELECT event_id, CAST(h - day AS INTEGER) AS days_ahead, holiday_name FROM (" + _AS_OF_HOLIDAY + ") a LEFT JOIN holidays ON holidays.date = a.h"),
+    "plan_by_target": W("SELECT row_number() OVER (ORDER BY Target_Stock DESC, ProductCode) AS place, ProductCode, Target_Stock FROM plan2", _PLAN),
+    "price_list_order": W("SELECT row_number() OVER (ORDER BY supplier, product_code) AS place, supplier, product_code FROM prices", _RESOLVED + ", " + _PRICES),
+    "inbound_order": W("SELECT row_number() OVER (ORDER BY GoodsNo, BillDate, ChQty) AS place, GoodsNo, BillDate, ChQty FROM (SELECT DISTINCT GoodsNo, BillDate, ChQty FROM moves)", _MOVES),
+    "class_order": W("SELECT row_number() OVER (ORDER BY CASE ABC_Class WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 WHEN 'New' THEN 3 ELSE 4 END, GoodsID) AS place, ABC_Class, GoodsID FROM abc", _ABC),
+    "next_prev_holiday": W("SELECT event_id, CAST(h - day AS INTEGER) AS days_ahead, holiday_name, CAST(day - (SELECT max(p.date) FROM holidays p WHERE p.date <= day) AS INTEGER) AS days_since FROM (" + _AS_OF_HOLIDAY + ") a LEFT JOIN holidays ON holidays.date = a.h"),
     "last_purchase": W("SELECT event_id, b.paid FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS paid FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON e.user_id = b.user_id AND e.ts >= b.ts"),
     "weather_features": W(
         """SELECT station, date, first_value(m IGNORE NULLS) OVER f AS mean_temp, round(first_value(ma IGNORE NULLS) OVER f, 4) AS temp_ma_7, round(first_value(df IGNORE NULLS) OVER f, 4) AS temp_diff

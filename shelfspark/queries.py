@@ -176,7 +176,7 @@ def _plan(t, model):
 
 
 def target_plan(s, d):
-    """Without the items that need a fitted model; the rest by rule."""
+    """The whole plan with a rule in place of the fitted month: the last three months' mean, which SQL can express."""
     return _plan(tables(s, d), False)
 
 
@@ -184,6 +184,27 @@ def target_plan_model(s, d):
     return _plan(tables(s, d), True)
 
 
+def plan_by_target(s, d):
+    """The plan in order of target stock, the largest first; the place is a column, so that the order is compared."""
+    return publish.ranked(_plan(tables(s, d), False), [F.col("Target_Stock").desc(), F.col("ProductCode")]).select("place", "ProductCode", "Target_Stock")
+
+
+def price_list_order(s, d):
+    return publish.ranked(_prices(tables(s, d)), [F.col("supplier"), F.col("product_code")]).select("place", "supplier", "product_code")
+
+
+def inbound_order(s, d):
+    moves = procurement.inbound_movements(tables(s, d)["inbound"], AS_OF)
+    # Equal rows are one, so that the order has no ties.
+    return publish.ranked(moves.distinct(), [F.col("GoodsNo"), F.col("BillDate"), F.col("ChQty")]).select("place", "GoodsNo", "BillDate", "ChQty")
+
+
+def class_order(s, d):
+    rows = _classes(tables(s, d)).select("ABC_Class", "GoodsID")
+    rank = F.when(F.col("ABC_Class") == "A", 0).when(F.col("ABC_Class") == "B", 1).when(F.col("ABC_Class") == "C", 2).when(F.col("ABC_Class") == "New", 3).otherwise(4)
+    return publish.ranked(rows, [rank, F.col("GoodsID")]).select("place", "ABC_Class", "GoodsID")
+
+
 def order_suggestion_moq(s, d):
     return forecast.order_suggestion(_plan(tables(s, d), False)).select("ProductCode", "ABC_XYZ", F.round("Suggested_Order", 2).alias("Suggested_Order"), F.round("Final_Order", 2).alias("Final_Order"))
 
@@ -253,11 +274,15 @@ def calendar_features(s, d):
 
 
 def next_prev_holiday(s, d):
+    """The holiday on or after each event, and the days since the one on or before it."""
     t = tables(s, d)
-    facts = t["events"].select("event_id", F.to_date("ts").alias("day"), F.lit(1).alias("k"))
-    events = t["holidays"].select(F.lit(1).alias("k"), F.col("date").alias("h"), "holiday_name")
-    ahead = windows.as_of(facts.withColumn("k", F.col("k")), events, "k", "day", "h", ["holiday_name"], forward=True)
-    return ahead.select("event_id", F.datediff("h", "day").alias("days_ahead"), "holiday_name")
+    # The list of holidays is configuration, some ten a year: one sorted array, sent to every task.
+    days = t["holidays"].agg(F.sort_array(F.collect_list(F.struct("date", "holiday_name"))).alias("hs"))
+    facts = t["events"].select("event_id", F.to_date("ts").alias("day")).join(F.broadcast(days))
+    facts = facts.withColumn("next", F.expr("get(filter(hs, x -> x.date >= day), 0)")).withColumn("prev", F.expr("element_at(filter(hs, x -> x.date <= day), -1)"))
+    return facts.select(
+        "event_id", F.datediff("next.date", "day").alias("days_ahead"), F.col("next.holiday_name").alias("holiday_name"), F.datediff("day", "prev.date").alias("days_since")
+    )
 
 
 def last_purchase(s, d):
@@ -361,8 +386,10 @@ def _sheets(t):
 def _config(t):
     """One supplier for each kind of sheet but two, from the receipts."""
     s = F.substring("file", 5, 1)
+    rows = t["receipts"].select(s.alias("file")).distinct()
+    s = F.col("file")
     n = s.cast("int")
-    rows = t["receipts"].select("file").distinct().where(n < 5)
+    rows = rows.where(n < 5)
     return rows.select(n.alias("ord"), F.concat(F.lit("Supplier "), s).alias("supplier"), F.concat(F.lit("code"), s).alias("barcode_col"), F.concat(F.lit("price"), s).alias("price_col"), F.concat(F.lit("qty"), s).alias("qty_col"), F.concat(F.lit("item"), s).alias("name_col"), F.lit("No").alias("markup_flag"))
 
 
@@ -411,7 +438,7 @@ QUERIES = {
         abc_classification, daily_sales, merge_sales, recent_months, sales_summary, month_age, monthly_sales, dense_monthly_series, stock_master, clean_text,
         note_parse, product_columns, supplier_dim, inventory_health, adjusted_cost_profit, xyz_stats, abc_xyz_full, strategy_labels, class_counts,
         legacy_abc_v1, legacy_abc_v2, seasonal_index, run_rate_new, trailing_mean, z_peak, legacy_median6, legacy_last_weeks, forecast_next_month, c_class_target,
-        target_plan, target_plan_model, order_suggestion_moq, plan_summary, plan_upload, inbound_movements, min_multiple, changed_rows, merge_upsert, changed_classification,
+        target_plan, target_plan_model, plan_by_target, price_list_order, inbound_order, class_order, order_suggestion_moq, plan_summary, plan_upload, inbound_movements, min_multiple, changed_rows, merge_upsert, changed_classification,
         changed_min_multiple, doc_ids, calendar_features, next_prev_holiday, last_purchase, weather_features, receipt_clean, resolve_products, barcode_options,
         receipt_summary, reason_counts, pos_import_layout, mapping_verdicts, mapping_upsert, price_list_upsert, price_list_delta, header_discovery, supplier_identify,
         receipt_rows, station_temperature, stream_daily_sales,
