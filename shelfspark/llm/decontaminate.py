@@ -1,16 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items and documents are cut into passages of 32 words, every 16 words. Words
-are weighted by idf over all documents; the item passages make a matrix whose leading
-right singular vectors come from a distributed randomised subspace iteration. Document
+are weighted by idf over all documents (counted by hash in a table of fixed size, so that
+it can be broadcast; words that share a place count together). The item passages make a matrix whose leading
+right singular vectors come from a distributed randomised subspace iteration; as many
+are kept as leave each passage ENERGY of its weight. Document
 passages in which the items' words carry enough weight are projected, and those whose
 cosine with an item passage reaches MIN_COSINE are candidates. A candidate counts when the longest
 common subsequence of the item with a stretch of the document about as long as the item
 holds LCS_SHARE of the item's words, and ANSWER_SHARE of its answer, the last third.
 
-The benchmark is the stated query set. It is dealt into blocks of about RANK passages, and
-the basis of a block has a direction for each of its passages, so that projection takes
-nothing from them; each block is one pass over all documents, so what goes to the tasks is bounded.
+The benchmark is the stated query set. It is dealt into blocks of about RANK passages with a basis
+each; BLOCKS_A_PASS blocks are looked up in one pass over the documents, so what goes to the tasks is bounded.
 
 Edge cases: items without words match nothing; null texts are empty; equal
 items match alike; repeated documents are matched each time; empty tables give no rows.
@@ -27,12 +28,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import free_name, saved, scratch
 from .line_dedup import SIGNS
-from .words import drop_empty, offsets_of, slices, sums
+from .words import drop_empty, hash_strings, mixed, offsets_of, slices
 
 PASSAGE, STEP = 32, 16
-RANK = 256
+RANK, BLOCKS_A_PASS = 256, 16
+#: Share of every item passage's squared length that the kept directions hold, at least.
+ENERGY = 0.8
+#: Places of the table of document counts.
+PLACES = 1 << 19
 MIN_COSINE = 0.45
 LCS_SHARE, ANSWER_SHARE = 0.7, 0.5
 
@@ -76,47 +81,42 @@ def match(item: list[str], words: list[str], start: int) -> tuple[float, float]:
 class Space:
     """A block of items: their words, idf weights, passages and, once fitted, the latent basis."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]):
+    def __init__(self, items: list[tuple[int, list[str]]], idf: np.ndarray):
+        """idf: of each place of the table of document counts."""
         self.items = items
         self.vocabulary = sorted({w for _, ws in items for w in ws})
         self.place = {w: i for i, w in enumerate(self.vocabulary)}
+        self.idf = idf[_places(hash_strings(pa.array(self.vocabulary, pa.string())))]
         self.passages = [
             (k, at, sorted({self.place[w] for w in ws[at : at + PASSAGE]}))
             for k, (_, ws) in enumerate(items)
             for at in range(0, max(1, len(ws) - STEP), STEP)
         ]
 
-    def weigh(self, n_docs: int, df: np.ndarray) -> None:
-        self.idf = np.log((2 + n_docs) / (1 + df)).astype(np.float32)
-        self.other_idf = float(np.log((2 + n_docs) / 2))
+    def rows(self) -> list[tuple[list[int], list[float]]]:
+        """The item passages as sparse rows of length one."""
+        return [(p, (self.idf[p] / np.sqrt((self.idf[p] ** 2).sum())).tolist()) for _, _, p in self.passages]
 
-    def place_queries(self, basis: np.ndarray) -> None:
-        """Item passages in the latent space, each of length one before its projection."""
-        self.basis = basis.astype(np.float32)
-        rows = np.stack([self.basis[p].T @ self.idf[p] for _, _, p in self.passages])
-        norms = np.array([np.sqrt((self.idf[p] ** 2).sum()) for _, _, p in self.passages], np.float32)
-        self.queries = rows / norms[:, None]
+    def keep(self, basis: np.ndarray) -> None:
+        """Take the leading directions that every passage needs, and the passages' directions there."""
+        spots = np.stack([np.asarray(v, np.float64) @ basis[p] for p, v in self.rows()])
+        held = np.cumsum(spots**2, axis=1).min(axis=0)
+        rank = min(basis.shape[1], int(np.searchsorted(held, ENERGY)) + 1)
+        self.basis, spots = basis[:, :rank].astype(np.float32), spots[:, :rank]
+        self.queries = (spots / np.sqrt((spots**2).sum(axis=1, keepdims=True))).astype(np.float32)
 
-    def candidates(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+    def candidates(self, codes: np.ndarray, words: Passages) -> Iterator[tuple[int, int, int, float]]:
         """(text, word where the passage begins, item, cosine) for words coded by vocabulary place or -1."""
         known = codes >= 0
-        weight = np.where(known, self.idf[codes], np.float32(self.other_idf)).astype(np.float64)
-        n = np.diff(offsets)
-        each = np.where(n > 0, np.maximum(1, (n - STEP + STEP - 1) // STEP), 0)
-        text = np.repeat(np.arange(len(n)), each)
-        begin = offsets[:-1][text] + STEP * (np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each))
-        end = np.minimum(begin + PASSAGE, offsets[1:][text])
-        mass = np.concatenate([[0.0], np.cumsum(weight**2)])
-        own = np.concatenate([[0.0], np.cumsum(np.where(known, weight**2, 0.0))])
-        total, part = mass[end] - mass[begin], own[end] - own[begin]
+        total, own = words.total, words.mass(np.where(known, words.weight**2, 0.0))
         # The items' words bound the cosine: without this much of the weight it cannot be reached.
-        live = np.flatnonzero(part >= MIN_COSINE**2 * total)
+        live = np.flatnonzero((own >= MIN_COSINE**2 * total * (1 - 1e-6)) & (own > 0))
         for some in np.array_split(live, max(1, len(live) // 2048)):
             if not len(some):
                 continue
-            lengths = end[some] - begin[some]
+            begin, lengths = words.begin[some], words.end[some] - words.begin[some]
             ends = np.cumsum(lengths)
-            at = np.repeat(begin[some] - (ends - lengths), lengths) + np.arange(ends[-1])
+            at = np.repeat(begin - (ends - lengths), lengths) + np.arange(ends[-1])
             # A word counts once in a passage, as in the items' passages.
             row = np.repeat(np.arange(len(some)), lengths)[known[at]]
             row, code = np.divmod(np.unique(row * len(self.idf) + codes[at[known[at]]]), len(self.idf))
@@ -125,43 +125,108 @@ class Space:
             vectors[filled] = np.add.reduceat(self.basis[code] * self.idf[code][:, None], first, axis=0)
             cosine = vectors @ self.queries.T / np.sqrt(total[some])[:, None]
             for i, q in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
-                t = int(text[some[i]])
-                yield t, int(begin[some[i]] - offsets[t]), self.passages[q][0], float(cosine[i, q])
+                t = int(words.text[some[i]])
+                yield t, int(begin[i] - words.offsets[t]), self.passages[q][0], float(cosine[i, q])
+
+
+class Passages:
+    """Where the passages of texts begin and end, and the squared weight of their different words."""
+
+    def __init__(self, offsets: np.ndarray, hashes: np.ndarray, idf: np.ndarray):
+        self.offsets, n = offsets, np.diff(offsets)
+        each = np.where(n > 0, np.maximum(1, (n - STEP + STEP - 1) // STEP), 0)
+        self.text = np.repeat(np.arange(len(n)), each)
+        self.begin = offsets[:-1][self.text] + STEP * (np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each))
+        self.end = np.minimum(self.begin + PASSAGE, offsets[1:][self.text])
+        # The last place before where the text has the same word; a passage counts a word where that lies before its begin.
+        start = np.repeat(offsets[:-1], n)
+        keys = mixed(hashes ^ mixed(start.astype(np.uint64)))
+        order = np.argsort(keys, kind="stable")
+        same = keys[order[1:]] == keys[order[:-1]]
+        before = np.full(len(keys), -1, np.int64)
+        before[order[1:][same]] = order[:-1][same]
+        half = start + (np.arange(len(keys)) - start) // STEP * STEP
+        self.first, self.second = before < half, before < np.maximum(half - STEP, start)
+        self.weight = idf[_places(hashes)].astype(np.float64)
+        self.total = self.mass(self.weight**2)
+
+    def mass(self, squares: np.ndarray) -> np.ndarray:
+        """The sum over each passage's different words: each word lies in the first or the second half of its passages."""
+        middle = np.minimum(self.begin + STEP, self.end)
+        a, b = (np.concatenate([[0.0], np.cumsum(np.where(x, squares, 0.0))]) for x in (self.first, self.second))
+        return a[middle] - a[self.begin] + b[self.end] - b[middle]
+
+
+class Spaces:
+    """Blocks that are looked up in one pass over the documents."""
+
+    def __init__(self, spaces: list[Space], idf: np.ndarray):
+        self.spaces, self.idf = spaces, idf
+        self.vocabulary = sorted({w for s in spaces for w in s.vocabulary})
+        # The last entry stands for words of no item.
+        self.codes = [np.array([*(s.place.get(w, -1) for w in self.vocabulary), -1], np.int64) for s in spaces]
 
     def hits(self, texts: pa.Array) -> list[tuple[int, int, float, float, float]]:
         """(text, item_id, cosine, share of the item, share of its answer) of what is confirmed, once a text and item."""
         offsets, flat = words_of(texts)
         codes = pc.index_in(flat, value_set=pa.array(self.vocabulary, pa.string()))
         codes = pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
-        best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        words: dict[int, list[str]] = {}
-        for t, start, k, cosine in self.candidates(codes, offsets):
-            if t not in words:
-                words = {t: flat[int(offsets[t]) : int(offsets[t + 1])].to_pylist()}
-            share, answer = match(self.items[k][1], words[t], start)
-            if share >= LCS_SHARE and answer >= ANSWER_SHARE:
-                best[t, k] = max(best.get((t, k), (0.0, 0.0, 0.0)), (share, answer, cosine))
-        return [(t, self.items[k][0], c, s, a) for (t, k), (s, a, c) in sorted(best.items())]
+        passages = Passages(offsets, hash_strings(flat), self.idf)
+        out = []
+        for space, own in zip(self.spaces, self.codes, strict=True):
+            best: dict[tuple[int, int], tuple[float, float, float]] = {}
+            words: dict[int, list[str]] = {}
+            for t, start, k, cosine in space.candidates(own[codes], passages):
+                if t not in words:
+                    words = {t: flat[int(offsets[t]) : int(offsets[t + 1])].to_pylist()}
+                share, answer = match(space.items[k][1], words[t], start)
+                if share >= LCS_SHARE and answer >= ANSWER_SHARE:
+                    best[t, k] = max(best.get((t, k), (0.0, 0.0, 0.0)), (share, answer, cosine))
+            out += [(t, space.items[k][0], c, s, a) for (t, k), (s, a, c) in sorted(best.items())]
+        return out
 
 
-def document_counts(texts: DataFrame, vocabulary: list[str]) -> np.ndarray:
-    """In how many documents each word of the vocabulary stands; over all documents."""
+def _places(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes) & np.uint64(PLACES - 1)).astype(np.int64)
+
+
+def document_idf(texts: DataFrame) -> np.ndarray:
+    """The idf of each place of the table of document counts, over all documents; tables are added up in two steps."""
+    stripe = 1 << 15
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, df = pa.array(vocabulary, pa.string()), np.zeros(len(vocabulary), np.int64)
+        from pyspark import TaskContext
+
+        df, n = np.zeros(PLACES, np.int64), 0
         for batch in slices(batches):
             offsets, flat = words_of(batch.column(0))
-            codes = pc.fill_null(pc.index_in(flat, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            text = np.repeat(np.arange(batch.num_rows), np.diff(offsets))[codes >= 0]
-            df += np.bincount(np.unique(text * len(vocabulary) + codes[codes >= 0]) % len(vocabulary), minlength=len(vocabulary))
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["word", "df"])
+            text = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            df += np.bincount(np.unique(text * PLACES + _places(hash_strings(flat))) & (PLACES - 1), minlength=PLACES)
+            n += batch.num_rows
+        if n:
+            k = PLACES // stripe
+            parts = [df[i * stripe : (i + 1) * stripe].astype("<i4").tobytes() for i in range(k)]
+            group = [TaskContext.get().partitionId() % 64] * k
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(k), pa.int32()), pa.array(group, pa.int32()), pa.array(parts, pa.binary()), pa.array([n] + [0] * (k - 1), pa.int64())],
+                names=["stripe", "part", "df", "n"],
+            )
+
+    def adder(kind: str):
+        def add(group: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(x, kind).astype("<i8") for x in group["df"])
+            return group.iloc[:1].assign(df=[total.tobytes()], n=group["n"].sum())
+
+        return add
 
-    counts = texts.mapInArrow(run, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
-    df = np.zeros(len(vocabulary), np.int64)
-    for row in counts.collect():
-        df[row["word"]] = row["df"]
-    return df
+    schema = "stripe int, part int, df binary, n long"
+    added = texts.mapInArrow(run, schema).groupBy("stripe", "part").applyInPandas(adder("<i4"), schema)
+    added = added.groupBy("stripe").applyInPandas(adder("<i8"), schema)
+    df, n = np.zeros(PLACES, np.int64), 0
+    for row in added.collect():
+        df[row["stripe"] * stripe : (row["stripe"] + 1) * stripe] = np.frombuffer(row["df"], "<i8")
+        n += row["n"]
+    return np.log((2 + n) / (1 + df)).astype(np.float32)
 
 
 def randomised_basis(rows: DataFrame, width: int, rank: int, rounds: int = 2, seed: int = 7) -> np.ndarray:
@@ -210,37 +275,37 @@ def randomised_basis(rows: DataFrame, width: int, rank: int, rounds: int = 2, se
     return block @ turn[:, keep[values[keep] > 1e-9 * values.max()]]
 
 
-def fit_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
-    """A fitted space for each block of the benchmark."""
+def fit_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Spaces]:
+    """The fitted spaces of the benchmark's blocks, as many together as one pass takes."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     passages = F.greatest(F.lit(1), F.ceil((F.size(F.split("text", r"\s+")) - STEP) / STEP))
     size = items.agg(F.sum(passages)).first()[0] or 0
     blocks = max(1, -(-size // RANK))
-    n_docs = docs.count()
+    idf = document_idf(docs.select("text"))
+    spaces: list[Space] = []
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         offsets, flat = words_of(pa.array([r["text"] for r in rows], pa.string()))
         flat = flat.to_pylist()
-        space = Space([(r["item_id"], flat[a:z]) for r, a, z in zip(rows, offsets[:-1], offsets[1:], strict=True) if z > a])
-        if not space.items:
-            continue
-        space.weigh(n_docs, document_counts(docs.select(F.col("text")), space.vocabulary))
-        sparse = []
-        for _, _, p in space.passages:
-            value = space.idf[p] / np.sqrt((space.idf[p] ** 2).sum())
-            sparse.append((p, value.tolist()))
-        matrix = spark.createDataFrame(sparse, "place array<int>, value array<float>").repartition(spark.sparkContext.defaultParallelism)
-        space.place_queries(randomised_basis(saved(matrix, "item-passages"), len(space.vocabulary), len(space.passages)))
-        yield space
+        some = [(r["item_id"], flat[a:z]) for r, a, z in zip(rows, offsets[:-1], offsets[1:], strict=True) if z > a]
+        if some:
+            space = Space(some, idf)
+            with scratch():
+                matrix = spark.createDataFrame(space.rows(), "place array<int>, value array<float>").repartition(spark.sparkContext.defaultParallelism)
+                space.keep(randomised_basis(saved(matrix, "item-passages"), len(space.vocabulary), len(space.passages)))
+            spaces.append(space)
+        if spaces and (len(spaces) == BLOCKS_A_PASS or b == blocks - 1):
+            yield Spaces(spaces, idf)
+            spaces = []
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, item_id, cosine, lcs_share and answer_share of each confirmed pair; one pass over docs a block."""
+    """key, item_id, cosine, lcs_share and answer_share of each confirmed pair."""
     kind = docs.schema[key].dataType
     found = docs.sparkSession.createDataFrame([], f"{key} {kind.simpleString()}, {HITS}")
-    for space in fit_blocks(docs, benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(space)
+    for spaces in fit_blocks(docs, benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(spaces)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -258,20 +323,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> Da
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a confirmed passage, with all their columns; nothing is shuffled."""
-    clean = docs.withColumn("__text", F.coalesce("text", F.lit("")))
+    filled = free_name(docs.columns, "filled")
+    clean = docs.withColumn(filled, F.coalesce("text", F.lit("")))
     schema = clean.schema
-    for space in fit_blocks(docs, benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(space)
+    for spaces in fit_blocks(docs, benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(spaces)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "__text"):
+            for batch in slices(batches, filled):
                 good = np.ones(batch.num_rows, bool)
-                at = batch.schema.get_field_index("__text")
-                good[[t for t, *_ in sent.value.hits(batch.column(at))]] = False
+                good[[t for t, *_ in sent.value.hits(batch.column(batch.num_columns - 1))]] = False
                 yield batch.filter(pa.array(good))
 
         clean = clean.mapInArrow(run, schema)
-    return clean.drop("__text")
+    return clean.drop(filled)
 
 
 def op5_decontamination(spark, sf_dir) -> DataFrame:

@@ -346,3 +346,39 @@ def test_leaks_of_a_large_benchmark(spark):
     df = make(spark, [(i, t, "s") for i, t in items[::10]])
     got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == {(i, i) for i, _ in items[::10]}
+
+
+def test_rank_is_below_the_passages():
+    """Passages that repeat each other need fewer directions, and keep the share of their weight that is stated."""
+    r = np.random.default_rng(3)
+    base = [[f"w{x}" for x in r.integers(0, 300, 30)] for _ in range(12)]
+    items = [(10 * k + i, [w if r.random() > 0.1 else f"x{k}{i}" for w in ws]) for k, ws in enumerate(base) for i in range(5)]
+    space = decontaminate.Space(items, np.ones(decontaminate.PLACES, np.float32))
+    full = np.zeros((len(space.passages), len(space.vocabulary)))
+    for row, (p, v) in zip(full, space.rows(), strict=True):
+        row[p] = v
+    space.keep(np.linalg.svd(full, full_matrices=False)[2].T)
+    assert space.basis.shape[1] < 0.6 * len(space.passages)
+    assert ((full @ space.basis) ** 2).sum(axis=1).min() >= decontaminate.ENERGY - 1e-4
+
+
+NAMES = ["gone", "__gone", "row", "n", "__key", "__text", "__l", "filled", "doc", "key", "node", "line", "cut", "block", "train", "root", "a", "b", "bad"]
+
+
+@pytest.mark.parametrize("stage", ["quality", "lines", "jaccard", "leaks"])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    from pyspark.sql import functions as F
+
+    r = random.Random(8)
+    text = lambda: " ".join(f"w{r.randrange(900)}" for _ in range(40))
+    rows = [(i, text(), "s") for i in range(12)]
+    rows += [(20, rows[0][1], "s"), (21, rows[1][1] + "\nown line of this one", "s"), (None, rows[2][1], None), (22, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in NAMES})
+    bench = spark.createDataFrame([(1, rows[3][1])], "item_id long, text string")
+    run = {"quality": quality_rules.keep_good, "lines": line_dedup.drop_lines, "jaccard": jaccard_join.keep_first, "leaks": lambda d: decontaminate.drop_leaks(d, bench)}[stage]
+    plain = {(x["doc_id"], x["text"]) for x in run(df.select("doc_id", "text", "source")).collect()}
+    out = run(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert {(x["doc_id"], x["text"]) for x in got} == plain and len(plain) < len(rows)
+    assert all(x[c] == (None if x["doc_id"] is None else f"{c}{x['doc_id']}") for x in got for c in NAMES)
