@@ -218,7 +218,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
             full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
             return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "links")
 
-        roots = link(keys, ["n"], "most", _may, verify)
+        roots = link(keys, ["n", "end"], "most", _may, verify)
         classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
         named = classes.join(roots, "node", "left").where("copies > 1 or root is not null")
         named = saved(named.select("node", "first", F.coalesce("root", "node").alias("root")), "classes")

@@ -36,6 +36,8 @@ SIMILARITY = 0.9
 PAIR_KEYS, PAIR_ROWS = 12, 4
 RUN_KEYS, RUN_ROWS = 16, 5
 SHORT = 64
+#: Bits by which the SimHash is turned in a further round of neighbours.
+TURNS = (32,)
 #: Signs that are cut from the ends of words.
 SIGNS = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
 LINES = "doc long, doc_id long, line int, node long, sim long, words string, chars int, keys array<long>"
@@ -298,7 +300,9 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         rows = shared(new.select(F.explode("keys").alias("key"), "node")).dropDuplicates(["key", "node"])
         rows = saved(rows, "shared-keys")
         told = new.select("node", "sim", "chars").dropDuplicates(["node"])
-        rows = saved(rows.join(told, "node").select("key", "node", "sim", "chars"), "line-keys")
+        # SimHash begun at other bits puts other lines side by side.
+        turned = [F.expr(f"shiftleft(sim, {k}) | shiftrightunsigned(sim, {64 - k})").alias(f"sim{k}") for k in TURNS]
+        rows = saved(rows.join(told, "node").select("key", "node", "sim", "chars", *turned), "line-keys")
         table = BitTable(rows.select("node").distinct())
         texts = new.select("node", "words").mapInArrow(_among(table), "node long, words string")
         texts = saved(texts.dropDuplicates(["node"]), "line-texts")
@@ -311,7 +315,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
             full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
             return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
 
-        roots = link(rows, ["sim"], "sim", may, verify, few_keys=True)
+        roots = link(rows, ["sim", *(f"sim{k}" for k in TURNS)], "sim", may, verify, few_keys=True)
         # A null doc_id sorts after every number.
         spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
         nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))

@@ -66,7 +66,7 @@ def shared(rows: DataFrame) -> DataFrame:
 
 def link(
     rows: DataFrame,
-    order: list[str],
+    orders: list[str],
     weight: str,
     may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     verify: Callable[[DataFrame], DataFrame],
@@ -74,27 +74,36 @@ def link(
 ) -> DataFrame:
     """node and root of every linked node, as a saved table.
 
-    rows: a saved table (key, node, ...) of shared keys, each key and node once. order: columns that
-    put like nodes side by side. weight: column whose largest value makes a key's hub. may(x, y): a
+    rows: a saved table (key, node, ...) of shared keys, each key and node once. orders: columns that
+    put like nodes side by side, one for each round in which neighbours are tested; a round joins groups, so that the next
+    and the last step have fewer pairs left. weight: column whose largest value makes a key's hub. may(x, y): a
     filter on two rows of a key; x and y give a column by name. verify: keeps the linked ones of
     distinct pairs (a, b), as a saved table. few_keys: a node has so few keys that each of its rows can
     carry them all; a pair then comes from the first key that both share, and not from each of them.
     """
     rest = [c for c in rows.columns if c != "key"]
-    held = rows.select("key", F.struct(*rest).alias("y"))
-    place = Window.partitionBy("key").orderBy(*[F.col(f"y.{c}").asc() for c in [*order, "node"]])
-    hub = F.max(F.struct(f"y.{weight}", "y.node", "y")).over(Window.partitionBy("key"))["y"]
-    near = held.select("y", F.lag("y").over(place).alias("before"), hub.alias("hub"))
-    near = near.select("y", F.explode(F.array("before", "hub")).alias("x"))
-    tried = saved(_pairs(near.where("x.node <> y.node"), may), "near-pairs")
-    first = verify(tried)
-    roots = components(first)
-
-    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # The only pair of a key with two nodes is tested already.
-    many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    many = many.where("lo <> hi and n > 2").select("key")
-    open_ = saved(named.join(many, "key"), "open-keys")
+    tried = links = None
+    open_ = rows.withColumn("root", F.col("node"))
+    for k, order in enumerate(orders):
+        held = open_.select("key", F.struct(*rest, "root").alias("y"))
+        place = Window.partitionBy("key").orderBy(F.col(f"y.{order}").asc(), F.col("y.node").asc())
+        sides = ["before"]
+        near = held.withColumn("before", F.lag("y").over(place))
+        if not k:
+            hub = F.max(F.struct(f"y.{weight}", "y.node", "y")).over(Window.partitionBy("key"))["y"]
+            near, sides = near.withColumn("hub", hub), ["before", "hub"]
+        near = near.select("y", F.explode(F.array(*sides)).alias("x")).where("x.root <> y.root")
+        pairs = _pairs(near, may)
+        pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        found = verify(pairs)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        named = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # The only pair of a key with two nodes is tested already.
+        many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+        many = many.where("lo <> hi and n > 2").select("key")
+        open_ = saved(named.join(many, "key"), "open-keys")
+
     more = [*rest, "root"]
     if few_keys:
         own = open_.groupBy("node").agg(F.collect_set("key").alias("own"))
@@ -108,8 +117,8 @@ def link(
     # The filter stands in the join, so that a pair that fails it never becomes a row.
     far = packed.join(other, "key").where(apart & _may(may))
     far = far.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-    second = verify(saved(far.join(tried, ["a", "b"], "left_anti"), "far-pairs"))
-    return components(first.unionByName(second))
+    last = verify(saved(far.join(tried, ["a", "b"], "left_anti"), "far-pairs"))
+    return components(links.unionByName(last))
 
 
 def _may(may) -> Column:
