@@ -1,14 +1,19 @@
-"""License scan: sparse TF-IDF cosine of lines and whole files to templates, then inheritance by path.
+"""License scan: sparse TF-IDF cosine of passages and whole files to templates, then inheritance by path.
 
-Every line of a text, and the text as a whole, is a passage; templates are the notices
-below. Words are weighted by idf over all documents (words that no template has weigh as
-the rarest). The template with the highest cosine of at least MIN_COSINE is the file's own
-license. A file that as a whole is one of the templates is a licence file: it licenses
+Every line of a text, every window of as many consecutive words as a template has (so that wrapped
+headers and notices within long lines are found), and the text as a whole is a passage. Words are weighted by idf over
+all documents (words that no template has weigh as the rarest). The template with the highest
+cosine of at least MIN_COSINE is the file's own license. A licence file is one that as a whole is one
+of the templates, or whose first words are the title of a long licence: it licenses
 its directory. A file without an own license takes that of the nearest ancestor
 directory that has one: all directories are joined with the licensed ones over their ancestors.
 
+Sums along the text give each passage's product with each template and a bound of its norm; only
+passages that may reach MIN_COSINE by these are worked out.
+
 Edge cases: null or empty texts have no own license; a null path inherits nothing and
-licenses nothing; equal cosines go to the first template by name; of several licence files
+licenses nothing; equal cosines go to a line, then a window, then the whole, then to the first template by name,
+then to the first place; of several licence files
 in a directory the best one counts, then the first by name; an empty table gives no rows.
 """
 
@@ -24,19 +29,12 @@ from pyspark.sql import functions as F
 
 from .common import saved
 from .decontaminate import words_of
-from .words import slices, sums
-
-# Notices by which licenses are recognised.
-TEMPLATES = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0",),
-    "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted",),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International"),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3", "GNU General Public License version 3"),
-    "MIT": ("Released under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
-}
+from .license_texts import TEMPLATES, TITLES
+from .words import offsets_of, slices
+
 MIN_COSINE = 0.8
+#: Words, and passages, whose cosines are worked out at once.
+WORDS_AT_ONCE, PASSAGES_AT_ONCE = 1 << 20, 2048
 #: Largest table of inherited licenses by directory that is broadcast.
 BROADCAST_DIRS = 100_000
 
@@ -62,58 +60,94 @@ def document_counts(texts: DataFrame, vocabulary: list[str]) -> np.ndarray:
 
 
 class Matcher:
-    def __init__(self, templates: dict[str, tuple[str, ...]], counts, n_docs: int):
-        self.names = [name for name in sorted(templates) for _ in templates[name]]
-        offsets, flat = words_of(pa.array([t for name in sorted(templates) for t in templates[name]], pa.string()))
+    def __init__(self, templates: dict[str, tuple[str, ...]], titles: dict[str, tuple[str, ...]], counts, n_docs: int):
+        known = sorted((name, k, text) for k, kind in enumerate((templates, titles)) for name in kind for text in kind[name])
+        self.names = [name for name, _, _ in known]
+        self.title = np.array([k == 1 for _, k, _ in known])
+        offsets, flat = words_of(pa.array([text for _, _, text in known], pa.string()))
+        self.lengths = np.diff(offsets)
         self.vocabulary = sorted(set(flat.to_pylist()))
         place = {w: i for i, w in enumerate(self.vocabulary)}
-        self.idf = np.log((2 + n_docs) / (1 + counts(self.vocabulary)))
-        self.other = float(np.log((2 + n_docs) / 1))
-        self.rows = np.zeros((len(self.names), len(place)))
+        # The last place stands for all other words: they are taken to differ, each adds its squared weight.
+        self.idf = np.append(np.log((2 + n_docs) / (1 + counts(self.vocabulary))), np.log(2 + n_docs))
+        self.rows = np.zeros((len(self.names), len(place) + 1))
         for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
             for w in flat[int(a) : int(b)].to_pylist():
                 self.rows[k, place[w]] += self.idf[place[w]]
         self.rows /= np.maximum(np.sqrt((self.rows**2).sum(axis=1)), 1e-12)[:, None]
 
-    def best(self, offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best cosine and template of each passage of words coded by vocabulary place or -1."""
-        known = codes >= 0
-        # Words outside the templates are taken to differ: each adds its squared weight.
-        outside = sums(offsets, np.where(known, 0, 1).astype(np.int64)) * self.other**2
-        inside = sums(offsets, known.astype(np.int64))
-        cosine, which = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1, np.int64)
-        passage = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        most = sums(offsets, np.where(known, np.ceil(self.idf[codes] ** 2 * 1e6), 0).astype(np.int64)) * inside / 1e6
-        # What the template words could add at most decides which passages are worked out.
-        live = np.flatnonzero((inside > 0) & (most >= MIN_COSINE**2 * outside / (1 - MIN_COSINE**2)))
-        for some in np.array_split(live, max(1, len(live) // 4096)):
-            row = np.full(len(offsets) - 1, -1)
-            row[some] = np.arange(len(some))
-            at = np.flatnonzero(known & (row[passage] >= 0))
-            tf = np.zeros((len(some), len(self.idf)))
-            np.add.at(tf, (row[passage[at]], codes[at]), self.idf[codes[at]])
-            scores = tf @ self.rows.T / np.sqrt((tf**2).sum(axis=1) + outside[some])[:, None]
-            which[some], cosine[some] = scores.argmax(axis=1), scores.max(axis=1)
-        return cosine, which
+    def candidates(self, codes: np.ndarray, passages: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which passages (starts, ends) may reach MIN_COSINE, and all windows that may.
+
+        ends: the end of the text of each word. A word that repeats in a passage makes its norm only larger.
+        """
+        weights = self.idf[codes]
+        least = np.concatenate([[0.0], np.cumsum(weights**2)])
+        live, found = np.zeros(passages.shape[1], bool), [np.zeros((2, 0), np.int64)]
+        for row, length in zip(self.rows, self.lengths.tolist(), strict=True):
+            dot = np.concatenate([[0.0], np.cumsum(row[codes] * weights)])
+
+            def may(a, b, dot=dot):
+                inside = dot[b] - dot[a]
+                return (inside > 1e-9) & (inside >= MIN_COSINE * np.sqrt(np.maximum(least[b] - least[a], 0)) - 1e-6)
+
+            live |= may(*passages)
+            if 0 < length <= len(codes):
+                a = np.arange(len(codes) - length + 1)
+                a = a[may(a, a + length)]
+                a = a[ends[a] >= a + length]
+                found.append(np.stack([a, a + length]))
+        windows = np.concatenate(found, axis=1)
+        return live, np.unique(windows, axis=1) if windows.size else windows
+
+    def cosines(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best cosine and template of each passage."""
+        sizes = ends - starts
+        best, which = np.zeros(len(starts)), np.zeros(len(starts), np.int64)
+        total, i = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while i < len(starts):
+            j = max(i + 1, min(i + PASSAGES_AT_ONCE, int(np.searchsorted(total, total[i] + WORDS_AT_ONCE, side="right")) - 1))
+            row = np.repeat(np.arange(j - i), sizes[i:j])
+            words = codes[np.arange(total[j] - total[i]) + np.repeat(starts[i:j] - (total[i:j] - total[i]), sizes[i:j])]
+            cells, n = np.unique(row * len(self.idf) + words, return_counts=True)
+            row, words = cells // len(self.idf), cells % len(self.idf)
+            other = words == len(self.idf) - 1
+            norm = np.bincount(row, self.idf[words] ** 2 * np.where(other, n, n**2), j - i)
+            tf = np.zeros((j - i, len(self.idf)))
+            tf[row[~other], words[~other]] = n[~other] * self.idf[words[~other]]
+            scores = tf @ self.rows.T / np.sqrt(np.maximum(norm, 1e-12))[:, None]
+            scores = np.round(scores, 12)
+            best[i:j], which[i:j] = scores.max(axis=1), scores.argmax(axis=1)
+            i = j
+        return best, which
 
     def scan(self, texts: pa.Array) -> list[tuple[str | None, float, int, bool]]:
-        """License, cosine, line (-1: the whole text) and whether the whole text is a template, of each text."""
+        """License, cosine, line (-1: the whole text) and whether it is a licence file, of each text."""
         lists = pc.split_pattern(texts, "\n")
-        per_text = lists.offsets.to_numpy().astype(np.int64)
-        per_text = per_text - per_text[0]
-        offsets, flat = words_of(lists.flatten())
+        per_text = offsets_of(lists)
+        lines, flat = words_of(lists.flatten())
         codes = pc.index_in(flat, value_set=pa.array(self.vocabulary, pa.string()))
-        codes = pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
-        line, line_which = self.best(offsets, codes)
-        whole, whole_which = self.best(offsets[per_text], codes)
-        out = []
-        for t, (a, b) in enumerate(zip(per_text[:-1], per_text[1:], strict=True)):
-            k = a + int(line[a:b].argmax()) if b > a else a
-            cosine, which, at = (line[k], line_which[k], k - a) if b > a else (0.0, 0, -1)
-            if whole[t] > cosine:
-                cosine, which, at = whole[t], whole_which[t], -1
-            found = cosine >= MIN_COSINE
-            out.append((self.names[which] if found else None, float(cosine) if found else 0.0, int(at) if found else -1, bool(whole[t] >= MIN_COSINE)))
+        codes = pc.fill_null(codes, len(self.vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
+        bounds = lines[per_text]
+        passages = np.stack([np.concatenate([lines[:-1], bounds[:-1]]), np.concatenate([lines[1:], bounds[1:]])])
+        kinds = np.repeat([0, 2], [len(lines) - 1, len(bounds) - 1])
+        owners = np.concatenate([np.repeat(np.arange(len(texts)), np.diff(per_text)), np.arange(len(texts))])
+        live, windows = self.candidates(codes, passages, np.repeat(bounds[1:], np.diff(bounds)))
+        starts, ends = np.concatenate([passages[:, live], windows], axis=1)
+        kinds = np.concatenate([kinds[live], np.ones(windows.shape[1], np.int64)])
+        owners = np.concatenate([owners[live], np.searchsorted(bounds, windows[0], side="right") - 1])
+        cosine, which = self.cosines(codes, starts, ends)
+        good = cosine >= MIN_COSINE
+        file = np.zeros(len(texts), bool)
+        file[owners[good & ((kinds == 2) | self.title[which] & (starts == bounds[owners]))]] = True
+        out = [(None, 0.0, -1, bool(f)) for f in file]
+        seen = np.zeros(len(texts), bool)
+        for k in np.lexsort((starts, which, kinds, -cosine)):
+            t = int(owners[k])
+            if good[k] and not seen[t]:
+                seen[t] = True
+                line = -1 if kinds[k] == 2 else int(np.searchsorted(lines, starts[k], side="right") - 1 - per_text[t])
+                out[t] = (self.names[which[k]], float(cosine[k]), line, out[t][3])
         return out
 
 
@@ -125,10 +159,16 @@ def ancestors(path: str) -> str:
     )
 
 
-def license_scan(files: DataFrame, path: str = "path", *keep: str, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
+def license_scan(
+    files: DataFrame,
+    path: str = "path",
+    *keep: str,
+    templates: dict[str, tuple[str, ...]] = TEMPLATES,
+    titles: dict[str, tuple[str, ...]] = TITLES,
+) -> DataFrame:
     """keep, own_license, cosine, line, license (own or inherited) and inherited_from of every file."""
     n_docs = files.count()
-    matcher = Matcher(templates, lambda words: document_counts(files.select("text"), words), n_docs)
+    matcher = Matcher(templates, titles, lambda words: document_counts(files.select("text"), words), n_docs)
     sent = files.sparkSession.sparkContext.broadcast(matcher)
     cols = [*keep, path]
     source = files.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(cols)], "text")
