@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard_join, license_scan, line_dedup, lm_scoring, quality_rules, secret_scan, token_files, warc
+from . import bpe, decontaminate, jaccard_join, jaccard_sql, license_scan, line_dedup, lm_scoring, quality_rules, secret_scan, token_files, warc
 from .common import ship
 
 
@@ -30,6 +30,7 @@ _ALL = {
 QUERIES = {name: _shipped(query) for name, query in _ALL.items()}
 
 ORACLES = {
+    "op2_jaccard_join": jaccard_sql.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
 }

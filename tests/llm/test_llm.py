@@ -17,7 +17,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfspark.llm import bpe, common, decontaminate, jaccard_join, line_dedup, lm_scoring, pieces, quality_rules, secret_scan, token_files, warc, words
+from shelfspark.llm import bpe, common, decontaminate, jaccard_join, jaccard_sql, line_dedup, lm_scoring, pieces, quality_rules, secret_scan, token_files, warc, words
 from shelfspark.llm.elias_fano import EliasFano
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -78,6 +78,17 @@ def test_secrets(spark):
     assert "Python" not in found.select(F.size("spans"))._jdf.queryExecution().toString()
 
 
+def test_secret_query(spark, tmp_path):
+    """All contract columns of the query, with repeated rows and a null number."""
+    texts = ["PassWord: 'aaaaaa' secret==b apikey=12345 api_key=123456", "tokentoken=abcdefg\n" * 3, None, "", "é" * 9 + "AKIA" + "Z" * 30]
+    texts += ["f" * 23 + " " + "f" * 24 + "g" + "0" * 40, "secret\" = \"abcdef.g\" Ｔoken=abcdefgh", "ſecret=abcdefgh", "x " * 9000 + "token=" + "a1" * 20]
+    rows = [*enumerate(texts), (None, texts[0]), (0, texts[0])]
+    make(spark, [(d, t, "s") for d, t in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = secret_scan.op1_secret_scan(spark, str(tmp_path))
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    assert by_repr(map(tuple, got.select(*names).collect())) == by_repr(brute_secrets.row(d, t) for d, t in rows)
+
+
 @given(st.lists(st.text(alphabet="aB3/ =:token\"", max_size=60), max_size=4))
 @settings(max_examples=10, deadline=None)
 def test_secret_base_property(spark, texts):
@@ -96,6 +107,15 @@ def test_jaccard(spark, docs, rows):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _, _ in rows} - gone
 
 
+def test_jaccard_sql(spark, rows):
+    """The query's SQL on the same rows, without those that have no number."""
+    import duckdb
+
+    con, numbered = duckdb.connect(), [(d, t) for d, t, _ in rows if d is not None]
+    con.register("documents", pa.table({"doc_id": pa.array([d for d, _ in numbered], pa.int64()), "text": pa.array([t for _, t in numbered], pa.string())}))
+    assert by_repr(con.execute(jaccard_sql.ORACLE_SQL).fetchall()) == by_repr(brute_jaccard.groups(numbered))
+
+
 def test_jaccard_hub_group(spark):
     """Copies that are only linked through one text, and some that are linked to none."""
     r = random.Random(1)
