@@ -36,8 +36,10 @@ SIMILARITY = 0.9
 PAIR_KEYS, PAIR_ROWS = 12, 4
 RUN_KEYS, RUN_ROWS = 16, 5
 SHORT = 64
-#: Bits by which the SimHash is turned in a further round of neighbours.
-TURNS = (32,)
+#: Keys from which pairs of lines are tested before those that share fewer.
+STRONG = 3
+#: Bins into which the characters of a line are counted.
+BINS = 32
 #: Signs that are cut from the ends of words.
 SIGNS = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
 LINES = "doc long, doc_id long, line int, node long, sim long, words string, chars int, keys array<long>"
@@ -171,11 +173,20 @@ def _picked(offsets: np.ndarray, words: pa.Array, hashes: np.ndarray, some: np.n
     return np.concatenate([[0], np.cumsum(n[some])]), words.filter(pa.array(each)), hashes[each]
 
 
+def _counts(texts: pa.Array) -> pa.Array:
+    """How many characters of each text fall into each bin, by their code's remainder."""
+    codes = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
+    rows = np.repeat(np.arange(len(texts)), pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+    flat = np.bincount(rows * BINS + codes % BINS, minlength=len(texts) * BINS).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BINS, dtype=np.int32)), pa.array(flat))
+
+
 def _among(table: BitTable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows whose node may be in the table."""
-        for batch in batches:
-            yield batch.filter(pa.array(table.has(batch.column(0).to_numpy())))
+        """The rows whose node may be in the table, with their counts of characters."""
+        for batch in slices(batches, "words"):
+            batch = batch.filter(pa.array(table.has(batch.column(0).to_numpy())))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _counts(batch.column(1))], names=["node", "words", "counts"])
 
     return run
 
@@ -300,22 +311,25 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         rows = shared(new.select(F.explode("keys").alias("key"), "node")).dropDuplicates(["key", "node"])
         rows = saved(rows, "shared-keys")
         told = new.select("node", "sim", "chars").dropDuplicates(["node"])
-        # SimHash begun at other bits puts other lines side by side.
-        turned = [F.expr(f"shiftleft(sim, {k}) | shiftrightunsigned(sim, {64 - k})").alias(f"sim{k}") for k in TURNS]
-        rows = saved(rows.join(told, "node").select("key", "node", "sim", "chars", *turned), "line-keys")
+        rows = saved(rows.join(told, "node").select("key", "node", "sim", "chars"), "line-keys")
         table = BitTable(rows.select("node").distinct())
-        texts = new.select("node", "words").mapInArrow(_among(table), "node long, words string")
+        texts = new.select("node", "words").mapInArrow(_among(table), "node long, words string, counts array<int>")
         texts = saved(texts.dropDuplicates(["node"]), "line-texts")
 
         def may(x, y):
             return F.abs(x("chars") - y("chars")) <= (1 - SIMILARITY) * F.greatest(x("chars"), y("chars")) + 1e-9
 
+        def may_far(x, y):
+            # An edit moves the counts of two bins by one each, or of one bin and the length.
+            moved = F.aggregate(F.zip_with(x("counts"), y("counts"), lambda m, n: F.abs(m - n)), F.lit(0), lambda a, n: a + n)
+            return moved + F.abs(x("chars") - y("chars")) <= 2 * ((1 - SIMILARITY) * F.greatest(x("chars"), y("chars")) + 1e-9)
+
         def verify(pairs: DataFrame) -> DataFrame:
             full = pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
             full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
             return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
 
-        roots = link(rows, ["sim", *(f"sim{k}" for k in TURNS)], "sim", may, verify, few_keys=True)
+        roots = link(rows, ["sim"], "sim", may, verify, STRONG, texts.select("node", "counts"), may_far)
         # A null doc_id sorts after every number.
         spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
         nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))

@@ -3,7 +3,8 @@
 Rows (key, node, ...) say that a node has a key; nodes that share a key may be linked.
 ``link`` first tests each node against two others under each key only, the one before
 it in an order that puts like nodes side by side and the weightiest one, and joins
-what is linked into components. Then the pairs under a key whose nodes are still in different components are tested.
+what is linked into components. Then the pairs under a key whose nodes are still in different components are tested;
+where nodes carry their keys, those that share several of them come first, since what they link saves others the test.
 No pair that could join two components is left out, and a large group of copies costs
 a chain, not the square of its size. Sides are broadcast only where Spark finds them small at run time.
 """
@@ -70,7 +71,9 @@ def link(
     weight: str,
     may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     verify: Callable[[DataFrame], DataFrame],
-    few_keys: bool = False,
+    strong: int = 0,
+    about: DataFrame | None = None,
+    may_far: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
     """node and root of every linked node, as a saved table.
 
@@ -78,8 +81,10 @@ def link(
     put like nodes side by side, one for each round in which neighbours are tested; a round joins groups, so that the next
     and the last step have fewer pairs left. weight: column whose largest value makes a key's hub. may(x, y): a
     filter on two rows of a key; x and y give a column by name. verify: keeps the linked ones of
-    distinct pairs (a, b), as a saved table. few_keys: a node has so few keys that each of its rows can
-    carry them all; a pair then comes from the first key that both share, and not from each of them.
+    distinct pairs (a, b), as a saved table. strong: if above 0, a node has so few keys that each of its rows can
+    carry them all; a pair then comes from the first key that both share, and not from each of them, and
+    pairs that share at least so many keys are tested before the others. about: a table (node, ...) of further
+    columns for may_far, a filter as may on the pairs that are no neighbours.
     """
     rest = [c for c in rows.columns if c != "key"]
     tried = links = None
@@ -93,38 +98,52 @@ def link(
             hub = F.max(F.struct(f"y.{weight}", "y.node", "y")).over(Window.partitionBy("key"))["y"]
             near, sides = near.withColumn("hub", hub), ["before", "hub"]
         near = near.select("y", F.explode(F.array(*sides)).alias("x")).where("x.root <> y.root")
-        pairs = _pairs(near, may)
+        pairs = _ends(near.where(_on(may)))
         pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
         found = verify(pairs)
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        named = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # The only pair of a key with two nodes is tested already.
-        many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-        many = many.where("lo <> hi and n > 2").select("key")
-        open_ = saved(named.join(many, "key"), "open-keys")
-
-    more = [*rest, "root"]
-    if few_keys:
+        open_ = saved(_open(rows, links), "open-keys")
+
+    if about is not None:
+        open_ = open_.join(about, "node")
+    if strong:
         own = open_.groupBy("node").agg(F.collect_set("key").alias("own"))
-        open_ = open_.join(own, "node").withColumn("own", F.expr("filter(own, k -> k < key)"))
-        more.append("own")
-    packed = open_.select("key", F.struct(*more).alias("y"))
-    other = packed.withColumnRenamed("y", "x")
-    apart = (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))
-    if few_keys:
-        apart = apart & ~F.arrays_overlap("x.own", "y.own")
+        held = saved(open_.join(own, "node"), "open-keys")
+        first = saved(_far(held, may, may_far, strong).join(tried, ["a", "b"], "left_anti"), "strong-pairs")
+        links, tried = links.unionByName(verify(first)), tried.unionByName(first)
+        open_ = saved(_open(held.drop("root"), links), "open-keys")
+    last = saved(_far(open_, may, may_far, min(strong, 1)).join(tried, ["a", "b"], "left_anti"), "far-pairs")
+    return components(links.unionByName(verify(last)))
+
+
+def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows, with their nodes' roots, of keys whose nodes are in different components."""
+    named = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The only pair of a key with two nodes is tested already.
+    many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+    return named.join(many.where("lo <> hi and n > 2").select("key"), "key")
+
+
+def _far(rows: DataFrame, may, may_far, least: int) -> DataFrame:
+    """Distinct pairs (a, b) under a key that are in different components and share at least so many keys; 0: keys are not counted."""
+    apart = (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node")) & _on(may)
+    if least:
+        rows = rows.withColumn("less", F.expr("filter(own, k -> k < key)"))
+        apart = apart & ~F.arrays_overlap("x.less", "y.less")
+    if least > 1:
+        # As a lambda; the code that array_intersect makes is too long for the JVM to compile.
+        apart = apart & (F.size(F.filter("x.own", lambda k: F.array_contains("y.own", k))) >= least)
+    if may_far is not None:
+        apart = apart & _on(may_far)
+    packed = rows.select("key", F.struct(*[c for c in rows.columns if c != "key"]).alias("y"))
     # The filter stands in the join, so that a pair that fails it never becomes a row.
-    far = packed.join(other, "key").where(apart & _may(may))
-    far = far.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-    last = verify(saved(far.join(tried, ["a", "b"], "left_anti"), "far-pairs"))
-    return components(links.unionByName(last))
+    return _ends(packed.join(packed.withColumnRenamed("y", "x"), "key").where(apart))
 
 
-def _may(may) -> Column:
+def _on(may) -> Column:
     return may(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
 
 
-def _pairs(rows: DataFrame, may) -> DataFrame:
-    rows = rows.where(_may(may))
-    return rows.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
