@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard_join, jaccard_sql, license_scan, line_dedup, lm_scoring, prefix_trie, prefix_trie_sql, quality_rules, secret_scan, token_files, warc
+from . import bpe, decontaminate, jaccard_join, jaccard_sql, license_scan, line_dedup, lm_scoring, merkle, merkle_sql, mixing, prefix_trie, prefix_trie_sql, quality_rules, secret_scan, token_files, warc
 from .common import ship
 
 
@@ -15,6 +15,8 @@ def _shipped(query):
 
 
 _ALL = {
+    "op12_mixing": mixing.op12_mixing,
+    "op13_merkle": merkle.op13_merkle,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op3_license_scan": license_scan.op3_license_scan,
     "op8_lm_scoring": lm_scoring.op8_lm_scoring,
@@ -31,6 +33,7 @@ _ALL = {
 QUERIES = {name: _shipped(query) for name, query in _ALL.items()}
 
 ORACLES = {
+    "op13_merkle": merkle_sql.ORACLE_SQL,
     "op11_prefix_trie": prefix_trie_sql.ORACLE_SQL,
     "op2_jaccard_join": jaccard_sql.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
