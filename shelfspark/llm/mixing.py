@@ -12,9 +12,10 @@ they were expected to be. Flight: the longest undecided document and a spread ov
 shorter ones make a direction that changes neither total; the probabilities move along it,
 up or down by chance, until one is decided. Where the shorter ones cannot balance it in
 both totals, the words are kept. Blocks of some thousand documents of one source fly on
-their own and leave their shortest two undecided; those of all blocks of the source fly
-again, until one block is left. Landing: of the last documents of a source the words are
-kept while two are left, then the last one, a short one, is drawn.
+their own and leave two undecided, mostly the shortest; those of all blocks of the source and a
+block that waited fly again, until one block is left. Landing: in the last block, a document too long for the
+shorter ones to balance both ways is decided in a way that they can make up for, so the words come as near to the
+target as the documents of the source allow; the last one, a short one, goes to the nearer side.
 
 Edge cases: a null text has no words; documents without words fly like any other, and take
 nothing; a null source is a source of its own, the last; rows that repeat a doc_id and a
@@ -41,7 +42,7 @@ WEIGHTS = (5, 2, 1)
 #: No document is taken more often.
 MOST = 3
 #: Documents of one source that fly together, on average.
-BLOCK = 2048
+BLOCK = 512
 #: Sources of so many rows at most are broadcast to the documents; more are joined by shuffle.
 BROADCAST_SOURCES = 1_000_000
 #: A probability this close to 0 or 1 is decided.
@@ -75,60 +76,84 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 def _reach(p: np.ndarray, move: np.ndarray) -> tuple[float, float]:
     """How far the probabilities can go along a direction, and against it."""
-    with np.errstate(divide="ignore", invalid="ignore"):
-        to_one, to_zero = np.where(move == 0, np.inf, (1 - p) / np.abs(move)), np.where(move == 0, np.inf, p / np.abs(move))
-    return float(np.where(move > 0, to_one, to_zero).min()), float(np.where(move > 0, to_zero, to_one).min())
+    move = np.where(move == 0, 1e-300, move)
+    to_one, to_zero = (1 - p) / move, -p / move
+    return float(np.maximum(to_one, to_zero).min()), float(-np.minimum(to_one, to_zero).max())
 
 
-def _direction(size: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """A direction that moves the first (longest) document by 1 and spreads what balances it over all others.
+def _direction(size: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """A direction that moves the first (longest) document by 1 and spreads what balances it over all others, and its reach.
 
     It keeps words and number of documents. Where the others cannot make up for the first one so (they are of about one
     length), it keeps the words alone; where they have no words, the number.
     """
-    a, rest, w = size[0], size[1:], p[1:] * (1 - p[1:])
-    w0, w1, w2 = w.sum(), (w * rest).sum(), (w * rest * rest).sum()
+    a, rest, q, move = size[0], size[1:], p[1:], np.ones(len(p))
+    w = q * (1 - q)
+    v = w * rest
+    w0, w1, w2 = float(w.sum()), float(v.sum()), float(v @ rest)
     if w1 == 0:
-        return np.concatenate([[1.0], -w / w0])
+        move[1:] = w * (-1 / w0)
+        return move, *_reach(p, move)
     det = w0 * w2 - w1 * w1
     if det > 1e-9 * w0 * w2:
-        both = np.concatenate([[1.0], w * ((w1 * a - w2) + (w1 - w0 * a) * rest) / det])
-        up, down = _reach(p[1:], both[1:])
+        move[1:] = w * ((w1 * a - w2) / det) + v * ((w1 - w0 * a) / det)
+        up, down = _reach(p, move)
         if up >= 1 - p[0] and down >= p[0]:
-            return both
-    return np.concatenate([[1.0], -a * w / w1])
+            return move, up, down
+    move[1:] = w * (-a / w1)
+    return move, *_reach(p, move)
+
+
+def _landed(size: np.ndarray, p: np.ndarray, chance: random.Random) -> np.ndarray:
+    """The first document decided although the others cannot balance both ways; they make up for it as far as they can.
+
+    Of the ways that they can make up for, its probability chooses; if there is none, the nearer one is taken.
+    """
+    rest, q = size[1:], p[1:]
+    more, less = size[0] * (1 - p[0]), size[0] * p[0]  # words to be given up if it is taken, to be taken if not
+    give, take = float(rest @ q), float(rest @ (1 - q))
+    lack_up, lack_down = max(0.0, more - give), max(0.0, less - take)
+    up = chance.random() < p[0] if lack_up == lack_down == 0 else lack_up < lack_down
+    if up:
+        return np.concatenate([[1.0], q * (1 - min(1.0, more / give)) if give else q])
+    return np.concatenate([[0.0], 1 - (1 - q) * (1 - min(1.0, less / take)) if take else q])
 
 
 def fly(sizes: list[int], p: list[float], chance: random.Random, land: bool = False) -> list[float]:
     """The probabilities after the flight of documents from long to short: at most two are left between 0 and 1; with land, none."""
-    size, out = np.array(sizes, float), np.array(p, float)
+    out = np.array(p, float)
     left = np.flatnonzero((out > 0) & (out < 1))
-    while len(left) > (1 if land else 2):
-        free = left
-        if size[left[0]] > 0 and not size[left[1:]].any():
-            # Nothing is left that could balance its words: it lands now, or waits while the others fly.
-            if land:
-                out[left[0]] = float(chance.random() < out[left[0]])
-                left = left[1:]
-                continue
-            free = left[1:]
-        move = _direction(size[free], out[free])
-        up, down = _reach(out[free], move)
-        now = out[free] + move * (up if chance.random() * (up + down) < down else -down)
-        out[free] = np.where(now < CLOSE, 0.0, np.where(now > 1 - CLOSE, 1.0, now))
-        left = left[(out[left] > 0) & (out[left] < 1)]
-    if land and len(left):
-        out[left[0]] = float(chance.random() < out[left[0]])
+    size, now = np.array(sizes, float)[left], out[left]
+    held = 0
+    while len(now) > (0 if land else max(1, 2 - held)):
+        if not land and size[0] > 0 and size[1] == 0:
+            # Nothing is left that could balance its words: it waits while the others fly.
+            held, left, size, now = held + 1, left[1:], size[1:], now[1:]
+            continue
+        move, up, down = _direction(size, now) if len(now) > 1 else (None, 0.0, 0.0)
+        if size[0] == 0 and len(now) == 1:
+            now = np.array([float(chance.random() < now[0])])
+        elif land and size[0] > 0 and not (up >= 1 - now[0] and down >= now[0]):
+            now = _landed(size, now, chance)
+        else:
+            now = now + move * (up if chance.random() * (up + down) < down else -down)
+        now[now < CLOSE] = 0.0
+        now[now > 1 - CLOSE] = 1.0
+        out[left] = now
+        flying = (now > 0) & (now < 1)
+        left, size, now = left[flying], size[flying], now[flying]
     return out.tolist()
 
 
 def _flight(level: int, seed: int):
     def flight(table: pa.Table) -> pa.Table:
-        """One block of a source: long documents first, ties by number and copy."""
+        """One block of a source: long documents first, ties by number and copy. The first of several blocks waits for the next round."""
         rows = sorted(table.to_pylist(), key=lambda r: (-r["size"], r["doc_id"] is not None, r["doc_id"] or 0, r["copy"]))
         first = rows[0]
         chance = random.Random(f"{seed}/{level}/{first['source']!r}/{first['block']}")
-        p = fly([r["size"] for r in rows], [r["p"] for r in rows], chance, land=first["blocks"] == 1)
+        p = [r["p"] for r in rows]
+        if first["block"] > 0 or first["blocks"] == 1:
+            p = fly([r["size"] for r in rows], p, chance, land=first["blocks"] == 1)
         columns = {c: [r[c] for r in rows] for c in ("source", "doc_id", "size", "copy")} | {"p": p}
         types = [("source", pa.string()), ("doc_id", pa.int64()), ("size", pa.int64()), ("copy", pa.int64()), ("p", pa.float64())]
         return pa.table(columns, schema=pa.schema(types))
@@ -136,27 +161,28 @@ def _flight(level: int, seed: int):
     return flight
 
 
-def _dealt(units: DataFrame, sources: DataFrame, blocks: int) -> DataFrame:
-    """units with the number of blocks of their source and their own one; ``blocks`` of the largest source bound the rest."""
-    number = F.greatest(F.ceil(F.col("open") / BLOCK), F.lit(1)).cast("long")
-    small = sources.select(F.col("source").alias("s"), number.alias("blocks"))
-    dealt = units.join(F.broadcast(small) if blocks else small, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    return dealt.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", "copy"), F.col("blocks")))
+def _dealt(units: DataFrame, counts: DataFrame, few: bool, level: int) -> DataFrame:
+    """units with the number of blocks of their source and their own one."""
+    number = F.when(F.col("open") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("open") / BLOCK)).cast("long")
+    named = counts.select(F.col("source").alias("s"), number.alias("blocks"))
+    dealt = units.join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    return dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(level), "doc_id", "size", "copy"), F.col("blocks")))
 
 
 def cube(units: DataFrame, seed: int = 0) -> DataFrame:
     """(source, doc_id, size, copy, p) with p decided to 0 or 1 in balance within each source.
 
-    A round flies blocks of about BLOCK undecided documents and leaves two of each; rounds go on while a source has more than one block.
+    In a round all blocks of a source but one fly and leave at most two undecided documents each; the block that waits
+    gives the next round documents of all lengths, with which the left ones can be balanced. The last block lands.
     """
     decided, level = [], 0
     while True:
         counts = saved(units.groupBy("source").agg(F.count("*").alias("open")), "open")
         most, sources = counts.agg(F.max("open"), F.count("*")).first()
-        flown = _dealt(units, counts, sources <= BROADCAST_SOURCES).groupBy("source", "block").applyInArrow(_flight(level, seed), _UNIT)
+        flown = _dealt(units, counts, sources <= BROADCAST_SOURCES, level).groupBy("source", "block").applyInArrow(_flight(level, seed), _UNIT)
         flown = saved(flown, f"flight-{level}")
         decided.append(flown.where("p in (0, 1)"))
-        if (most or 0) <= BLOCK:
+        if (most or 0) <= 2 * BLOCK:
             break
         units, level = flown.where("p not in (0, 1)"), level + 1
     total = decided[0]
