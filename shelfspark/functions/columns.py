@@ -89,6 +89,11 @@ def final_demand(base, abc, xyz, index) -> Column:
     return _c(base) * F.when(boosted, boost).otherwise(1.0)
 
 
+def category_boost(abc, xyz, index) -> Column:
+    """The season's index, 2 at most, of new and erratic items; 1 for others and without an index."""
+    return F.when((_c(abc) == "New") | (_c(xyz) == "Z"), F.least(F.lit(2.0), F.coalesce(_c(index), F.lit(1.0)))).otherwise(1.0)
+
+
 def target_stock(demand, abc, cv, mean) -> Column:
     """Demand with safety stock, for items with history at most four monthly means (two pieces at least)."""
     share = F.least(F.when(_c(abc) == "A", 0.5).otherwise(0.3), _c(cv) * 0.5)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import adjusted_cost, is_generic, strategy_label
@@ -81,10 +81,13 @@ def classify(stock: DataFrame, sales: DataFrame, ratio: float = 0.8) -> DataFram
     )
 
 
+def class_rank() -> Column:
+    return F.array_position(F.array(*map(F.lit, ("New", "A", "B", "C", "Excluded"))), F.col("ABC_Class"))
+
+
 def class_order(rows: DataFrame) -> DataFrame:
     """New, A, B, C, Excluded; best profit first; for output only, since it sorts everything."""
-    place = F.array_position(F.array(*map(F.lit, ("New", "A", "B", "C", "Excluded"))), F.col("ABC_Class"))
-    return rows.orderBy(place, F.col("Monthly_Avg_Profit").desc(), "GoodsID")
+    return rows.orderBy(class_rank(), F.col("Monthly_Avg_Profit").desc(), "GoodsID")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:

@@ -6,10 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c_class_target, final_demand, guard_base, target_stock
+from ..functions.columns import c_class_target, category_boost, final_demand, guard_base, target_stock
+from .sales import dense_monthly_series, months_between
+from .trend import LEAST, forecast_trend, trend_weights
 
 PLAN = ("ProductCode", "Name", "ABC_XYZ", "Strategy", "CurrStock", "Base_Demand", "Final_Demand", "Target_Stock")
 
@@ -20,13 +22,53 @@ def seasonal_index(sales: DataFrame, stock: DataFrame) -> DataFrame:
     Only months in which the category sold count; a mean of zero counts as one.
     """
     named = sales.join(stock.select("GoodsID", "Category").where(F.col("Category").isNotNull()), "GoodsID")
-    months = named.groupBy("Category", F.trunc("rDate", "MM").alias("__m")).agg(F.sum("TotalQty").alias("__q"))
+    return _season(named.select("Category", F.trunc("rDate", "MM").alias("__m"), F.col("TotalQty").alias("__q")))
+
+
+def _season(rows: DataFrame) -> DataFrame:
+    months = rows.groupBy("Category", "__m").agg(F.sum("__q").alias("__q"))
     means = months.groupBy("Category").agg(F.avg("__q").alias("__mean"))
     mean = F.when(F.col("__mean") == 0, 1.0).otherwise(F.col("__mean"))
     ratios = months.join(means, "Category").select("Category", F.month("__m").alias("Month"), (F.col("__q") / mean).alias("__r"))
     return ratios.groupBy("Category", "Month").agg(F.avg("__r").alias("Seasonal_Index"))
 
 
+def demand_profile(sales: DataFrame) -> DataFrame:
+    """One row an item: months, its months with sales in order, as structs of Month, Qty, first and last day of sale.
+
+    The array is as long as the history in months. Run rate, recent means, peaks, the fit's series and the categories'
+    months all come from it, so daily sales are read and shuffled once.
+    """
+    months = sales.groupBy("GoodsID", F.trunc("rDate", "MM").alias("Month")).agg(F.sum("TotalQty").alias("Qty"), F.min("rDate").alias("first"), F.max("rDate").alias("last"))
+    return months.groupBy("GoodsID").agg(F.sort_array(F.collect_list(F.struct("Month", "Qty", "first", "last"))).alias("months"))
+
+
+def _total(values) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _profile_rules(rows: DataFrame) -> DataFrame:
+    """rows of a profile with n, first and the demand by rule: rate, mean3 and peak; as run_rate, trailing_mean and z_peak."""
+    begin, end = F.get("months", F.lit(0)), F.element_at("months", -1)
+    total = _total(F.transform("months", lambda m: m["Qty"]))
+    days = F.greatest(F.datediff(end["last"], begin["first"]), F.lit(1))
+    rate = total / days * 30
+    recent = lambda k: F.transform(F.filter("months", lambda m: months_between(m["Month"], end["Month"]) < k), lambda m: m["Qty"])
+    rows = rows.withColumns({"n": months_between(begin["Month"], end["Month"]) + 1, "first": F.month(begin["Month"]), "__three": recent(3), "__six": recent(6)})
+    gaps = F.array_repeat(F.lit(0.0), F.least(F.lit(6), F.col("n")) - F.size("__six"))
+    top = F.array_max(F.transform("months", lambda m: m["Qty"]))
+    rows = rows.withColumn("__six", F.sort_array(F.concat("__six", gaps), asc=False)).withColumn("__top", F.when(F.col("n") > F.size("months"), F.greatest(top, F.lit(0.0))).otherwise(top))
+    one, two = F.get("__six", F.lit(0)), F.get("__six", F.lit(1))
+    odd = (F.size("__six") >= 2) & (one == F.col("__top")) & (one > 0)
+    return rows.withColumns(
+        {
+            "rate": F.when(days < 7, F.least(rate, total * 3)).otherwise(rate),
+            "mean3": _total("__three") / F.least(F.lit(3), F.col("n")),
+            "peak": F.when(odd, two).otherwise(one),
+        }
+    ).drop("__three", "__six", "__top")
+
+
 def run_rate(sales: DataFrame) -> DataFrame:
     """New items: sales a day since the first sale, times 30; under a week at most three times what was sold."""
     t = sales.groupBy("GoodsID").agg(F.min("rDate").alias("__a"), F.max("rDate").alias("__b"), F.sum("TotalQty").alias("__q"))
@@ -68,53 +110,48 @@ def last_weeks(sales: DataFrame, weeks: int = 4) -> DataFrame:
     return rows.groupBy("GoodsID").agg(F.sum("TotalQty").alias("Base"))
 
 
-def ridge_next(series: np.ndarray, first_month: int, harmonics: int = 3, penalty: float = 1.0) -> float:
-    """The month after a monthly series: level, trend and yearly waves by ridge regression; never below zero."""
-    n = len(series)
-    t = np.arange(n + 1)
-    waves = [f(2 * np.pi * k * (t + first_month) / 12) for k in range(1, harmonics + 1) for f in (np.sin, np.cos)]
-    x = np.column_stack([np.ones(n + 1), (t - n / 2) / n, *waves])
-    weight = np.diag([0.0, *[penalty] * (x.shape[1] - 1)])
-    fitted = np.linalg.solve(x[:n].T @ x[:n] + weight, x[:n].T @ series)
-    return max(0.0, float(x[n] @ fitted))
-
+def forecast_next_month(series: DataFrame, fn: Callable[[np.ndarray, int], float] | None = None, least: int = 12) -> DataFrame:
+    """GoodsID, Base and failed for items with at least `least` months, gaps of zero counted.
 
-def forecast_next_month(series: DataFrame, fn: Callable[[np.ndarray, int], float] = ridge_next, least: int = 12) -> DataFrame:
-    """GoodsID and the forecast for items with at least `least` months; a fit that fails gives the series' mean."""
-    packed = series.groupBy("GoodsID").agg(F.sort_array(F.collect_list(F.struct("Month", "Qty"))).alias("__s"), F.count("*").alias("__n"))
+    Without fn, all items are fitted at once: see ``trend``. fn, if given, takes a whole series and the calendar month of
+    its start; where it raises or gives no number, Base is the series' mean and failed is 1.
+    """
+    if fn is None:
+        return forecast_trend(series, least)
+    packed = dense_monthly_series(series).groupBy("GoodsID").agg(F.sort_array(F.collect_list(F.struct("Month", "Qty"))).alias("__s"), F.count("*").alias("__n"))
     packed = packed.where(F.col("__n") >= least).select("GoodsID", F.month(F.col("__s")[0]["Month"]).alias("first"), F.col("__s.Qty").alias("q"))
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
+            out, failed = [], []
             for first, q in zip(frame["first"], frame["q"], strict=True):
                 try:
-                    y = fn(np.asarray(q, float), int(first))
+                    y = float(fn(np.asarray(q, float), int(first)))
                 except Exception:
                     y = float("nan")
-                out.append(y if np.isfinite(y) else float(np.mean(q)))
-            yield pd.DataFrame({"GoodsID": frame["GoodsID"], "Base": out})
+                failed.append(int(not np.isfinite(y)))
+                out.append(float(np.mean(q)) if failed[-1] else max(0.0, y))
+            yield pd.DataFrame({"GoodsID": frame["GoodsID"], "Base": out, "failed": failed})
 
-    return packed.mapInPandas(fit, "GoodsID long, Base double")
+    return packed.mapInPandas(fit, "GoodsID long, Base double, failed int")
 
 
-def base_demand(labels: DataFrame, sales: DataFrame, series: DataFrame, model: bool = True) -> DataFrame:
+def base_demand(labels: DataFrame, profile: DataFrame, model: bool = True) -> DataFrame:
     """labels with Base: run rate for new items, a fit or the last three months for X and Y, the recent peak for Z.
 
     Without model the last three months stand for the fit.
     """
-    named = labels.select("GoodsID", "ABC_Class", "XYZ_Class")
-    new = named.where("ABC_Class = 'New'").select("GoodsID")
-    steady = named.where("ABC_Class <> 'New' and XYZ_Class in ('X', 'Y')").select("GoodsID")
-    rest = named.where("ABC_Class <> 'New' and XYZ_Class not in ('X', 'Y')").select("GoodsID")
-    own = series.join(steady, "GoodsID", "left_semi")
-    long = own.groupBy("GoodsID").count().where("count >= 12").select("GoodsID")
-    short = trailing_mean(own.join(long, "GoodsID", "left_anti") if model else own)
-    parts = run_rate(sales.join(new, "GoodsID", "left_semi")).unionByName(short)
-    parts = parts.unionByName(z_peak(series.join(rest, "GoodsID", "left_semi")))
+    rows = _profile_rules(profile)
+    steady = F.col("mean3")
     if model:
-        parts = parts.unionByName(forecast_next_month(own))
-    return labels.join(parts, "GoodsID", "left").withColumn("Base", F.coalesce("Base", "Mean_Monthly_Qty", F.lit(0.0)))
+        pairs = rows.where(F.col("n") >= LEAST).select("n", "first").distinct()
+        rows = rows.join(F.broadcast(trend_weights(pairs)), ["n", "first"], "left")  # bounded by the months of history: see trend
+        begin = F.get("months", F.lit(0))["Month"]
+        fit = _total(F.transform("months", lambda m: F.get("weights", months_between(begin, m["Month"])) * F.coalesce(m["Qty"], F.lit(0.0))))
+        steady = F.when(F.col("weights").isNotNull(), F.greatest(fit, F.lit(0.0))).otherwise(steady)
+    rows = labels.join(rows.select("GoodsID", "rate", "peak", steady.alias("steady")), "GoodsID", "left")
+    base = F.when(F.col("ABC_Class") == "New", F.col("rate")).when(F.col("XYZ_Class").isin("X", "Y"), F.col("steady")).otherwise(F.col("peak"))
+    return rows.withColumn("Base", F.coalesce(base, "Mean_Monthly_Qty", F.lit(0.0))).drop("rate", "peak", "steady")
 
 
 def order_suggestion(plan: DataFrame, moq: float = 12.0) -> DataFrame:
@@ -127,9 +164,11 @@ def order_suggestion(plan: DataFrame, moq: float = 12.0) -> DataFrame:
 
 
 def plan_summary(plan: DataFrame) -> DataFrame:
+    """Items, items to order, and the mean season boost of the items that have one (A, B and New)."""
     return plan.agg(
         F.count("*").alias("n_items"),
         F.coalesce(F.sum((F.col("Suggested_Order") > 0).cast("long")), F.lit(0).cast("long")).alias("n_to_order"),
+        F.avg("Cat_Boost").alias("mean_boost"),
     )
 
 
@@ -139,29 +178,29 @@ def year_cap(target, year_qty, half: bool = True):
     return F.when((year_qty > 0) & (target > year_qty), capped).otherwise(target)
 
 
-def target_plan(classes: DataFrame, replenishment: DataFrame, sales: DataFrame, model: bool = True, sample: int | None = None) -> DataFrame:
+def target_plan(classes: DataFrame, replenishment: DataFrame, sales: DataFrame, model: bool = True, sample: int | None = None, boost: bool = False) -> DataFrame:
     """The plan for A, B and New items by strategy, and for C items by rule.
 
     classes: GoodsID, ABC_Class, XYZ_Class, CV, Mean_Monthly_Qty, Strategy. replenishment: today's stock with
-    FirstOrderQty. sample: only so many A, B and New items, for trials.
+    FirstOrderQty. sample: only so many A, B and New items, for trials. boost: with the column Cat_Boost.
     """
-    from .sales import dense_monthly_series, monthly_sales
-
     keys = ["GoodsID", "ABC_Class", "XYZ_Class", "CV", "Mean_Monthly_Qty", "Strategy"]
     today = replenishment.select("GoodsID", "ProductCode", "Name", "CurrStock", "Category", F.col("FirstOrderQty").try_cast("double").alias("FirstOrderQty"))
-    rows = classes.select(*keys).join(today, "GoodsID").persist()  # one row an item; read by each strategy
-    next_month = sales.agg(F.month(F.add_months(F.max("rDate"), 1)).alias("__next"))
-    season = seasonal_index(sales, replenishment).join(F.broadcast(next_month), F.col("Month") == F.col("__next")).select("Category", "Seasonal_Index")
-    active = rows.where(F.col("ABC_Class").isin("A", "B", "New"))
+    rows = classes.select(*keys).join(today, "GoodsID").where(F.col("ABC_Class").isin("A", "B", "New", "C"))
+    by_rule = F.col("ABC_Class") == "C"
     if sample:
-        active = active.orderBy("GoodsID").limit(sample)
-    own = sales.join(active.select("GoodsID"), "GoodsID", "left_semi").persist()
-    active = base_demand(active, own, dense_monthly_series(monthly_sales(own)).persist(), model).join(season, "Category", "left")
-    active = active.withColumn("Base", guard_base("Base", "ABC_Class", "Mean_Monthly_Qty"))
-    active = active.withColumn("Final", final_demand("Base", "ABC_Class", "XYZ_Class", "Seasonal_Index"))
-    active = active.withColumn("Target", target_stock("Final", "ABC_Class", "CV", "Mean_Monthly_Qty"))
+        rows = rows.where(~by_rule).orderBy("GoodsID").limit(sample).unionByName(rows.where(by_rule))
+    profile = demand_profile(sales)
+    next_month = profile.agg(F.month(F.add_months(F.max(F.element_at("months", -1)["last"]), 1)).alias("__next"))
+    named = replenishment.select("GoodsID", "Category").where(F.col("Category").isNotNull())
+    months = profile.join(named, "GoodsID").select("Category", F.explode("months").alias("m")).select("Category", F.col("m.Month").alias("__m"), F.col("m.Qty").alias("__q"))
+    season = _season(months).join(F.broadcast(next_month), F.col("Month") == F.col("__next")).select("Category", "Seasonal_Index")
+    rows = base_demand(rows, profile, model).join(season, "Category", "left")
     mean = F.coalesce("Mean_Monthly_Qty", F.lit(0.0))
-    rest = rows.where("ABC_Class = 'C'").withColumns({"Base": mean, "Final": mean, "Target": c_class_target("Mean_Monthly_Qty", "FirstOrderQty")})
+    rows = rows.withColumn("Base", F.when(by_rule, mean).otherwise(guard_base("Base", "ABC_Class", "Mean_Monthly_Qty")))
+    rows = rows.withColumn("Final", F.when(by_rule, mean).otherwise(final_demand("Base", "ABC_Class", "XYZ_Class", "Seasonal_Index")))
+    target = target_stock("Final", "ABC_Class", "CV", "Mean_Monthly_Qty")
+    rows = rows.withColumn("Target", F.when(by_rule, c_class_target("Mean_Monthly_Qty", "FirstOrderQty")).otherwise(target))
     cols = [
         "ProductCode",
         "Name",
@@ -170,4 +209,6 @@ def target_plan(classes: DataFrame, replenishment: DataFrame, sales: DataFrame,
         "CurrStock",
         *[F.bround(a, 2).alias(b) for a, b in (("Base", "Base_Demand"), ("Final", "Final_Demand"), ("Target", "Target_Stock"))],
     ]
-    return active.select(*cols).unionByName(rest.select(*cols))
+    if boost:
+        cols.append(F.when(~by_rule, F.round(category_boost("ABC_Class", "XYZ_Class", "Seasonal_Index"), 2)).alias("Cat_Boost"))
+    return rows.select(*cols)

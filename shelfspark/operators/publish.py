@@ -20,6 +20,21 @@ def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     return prefix_sum(df.withColumn("__one", F.lit(1).cast("long")), order, "__one", "place").drop("__one")
 
 
+def ranked_rows(df: DataFrame, order: list[str], out: str = "place") -> DataFrame:
+    """df with each row's number in the order of these columns, then of all others; equal rows get numbers in a row.
+
+    Equal rows are one row with their number until the numbers are known, so they need no order among them.
+    """
+    rows = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))
+    total = [F.col(c) for c in [*order, *[c for c in df.columns if c not in order]]]
+    rows = prefix_sum(rows, total, "__n", "__run")
+    # In two steps, so that no array grows with the number of equal rows beyond its root.
+    step = F.greatest(F.ceil(F.sqrt("__n")), F.lit(1)).cast("long")
+    rows = rows.withColumn("__from", F.explode(F.sequence(F.col("__run") - F.col("__n") + 1, F.col("__run"), step)))
+    places = F.sequence(F.col("__from"), F.least(F.col("__from") + step - 1, F.col("__run")))
+    return rows.select(*df.columns, F.explode(places).alias(out))
+
+
 def doc_id(df: DataFrame, ordinal: str = "ord") -> DataFrame:
     """Add doc_id: the first of ID, SID and Name that is not blank, safe for paths, else row_ and the row's number."""
     tries = [F.nullif(safe_name(F.trim(F.col(c).cast("string"))), F.lit("")) for c in ("ID", "SID", "Name") if c in df.columns]

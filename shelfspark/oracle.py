@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import trend_sql
 from .fixtures import AS_OF, with_tables
 from .schemas import GENERIC_CODE, GENERIC_NAMES, REASON_SHARED, REASON_UNKNOWN, STRATEGIES
 
@@ -15,6 +16,10 @@ def _half_even(x: str, places: int) -> str:
     return f"CASE WHEN {d} * {unit} - {low} = 0.5 AND {low} % 2 = 0 THEN CAST({low} AS DOUBLE) / {unit} ELSE CAST(round({d}, {places}) AS DOUBLE) END"
 
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH", "WITH RECURSIVE", 1)
+
+
 _MONTHLY = "monthly AS (SELECT GoodsID, CAST(date_trunc('month', rDate) AS DATE) AS Month, sum(TotalQty) AS Qty FROM daily GROUP BY 1, 2)"
 
 _DENSE = (
@@ -104,16 +109,26 @@ base1 AS (SELECT b.*, coalesce(CASE WHEN ABC_Class = 'New' THEN r.Base WHEN XYZ_
 base2 AS (SELECT *, CASE WHEN ABC_Class <> 'New' AND Mean_Monthly_Qty > 0 THEN least(base, Mean_Monthly_Qty * 3) ELSE base END AS capped FROM base1),
 base3 AS (SELECT *, CASE WHEN capped <= 0 AND ABC_Class IN ('A', 'B') AND Mean_Monthly_Qty > 0 THEN Mean_Monthly_Qty ELSE capped END AS b FROM base2),
 base4 AS (SELECT *, b * CASE WHEN ABC_Class = 'New' OR XYZ_Class = 'Z' THEN greatest(1.0e0, least(2.0e0, coalesce(idx, 1.0e0))) ELSE 1.0e0 END AS f2 FROM base3),
-base5 AS (SELECT *, f2 + f2 * least(CASE WHEN ABC_Class = 'A' THEN 0.5e0 ELSE 0.3e0 END, CV * 0.5e0) AS t FROM base4),
+base5 AS (SELECT *, round(CASE WHEN ABC_Class = 'New' OR XYZ_Class = 'Z' THEN least(2.0e0, coalesce(idx, 1.0e0)) ELSE 1.0e0 END, 2) AS boost, f2 + f2 * least(CASE WHEN ABC_Class = 'A' THEN 0.5e0 ELSE 0.3e0 END, CV * 0.5e0) AS t FROM base4),
 plan AS (SELECT ProductCode, Name, ABC_Class || XYZ_Class AS ABC_XYZ, ABC_Class, Strategy, CurrStock, b AS Base, f2 AS Final,
-  CASE WHEN ABC_Class <> 'New' AND Mean_Monthly_Qty > 0 THEN least(t, greatest(Mean_Monthly_Qty * 4, 2.0e0)) ELSE t END AS Target FROM base5
+  CASE WHEN ABC_Class <> 'New' AND Mean_Monthly_Qty > 0 THEN least(t, greatest(Mean_Monthly_Qty * 4, 2.0e0)) ELSE t END AS Target, boost FROM base5
   UNION ALL SELECT ProductCode, Name, ABC_Class || XYZ_Class, ABC_Class, Strategy, CurrStock, coalesce(Mean_Monthly_Qty, 0.0e0), coalesce(Mean_Monthly_Qty, 0.0e0),
-  CASE WHEN coalesce(Mean_Monthly_Qty, 0) <= 0 THEN 0.0e0 WHEN f > 0 AND f <= Mean_Monthly_Qty * 12 THEN f ELSE Mean_Monthly_Qty * 1.2e0 END FROM base0 WHERE ABC_Class = 'C'),
-plan2 AS (SELECT ProductCode, Name, ABC_XYZ, ABC_Class, Strategy, CurrStock, {_half_even('Base', 2)} AS Base_Demand, {_half_even('Final', 2)} AS Final_Demand, {_half_even('Target', 2)} AS Target_Stock FROM plan),
+  CASE WHEN coalesce(Mean_Monthly_Qty, 0) <= 0 THEN 0.0e0 WHEN f > 0 AND f <= Mean_Monthly_Qty * 12 THEN f ELSE Mean_Monthly_Qty * 1.2e0 END, NULL FROM base0 WHERE ABC_Class = 'C'),
+plan2 AS (SELECT ProductCode, Name, ABC_XYZ, ABC_Class, Strategy, CurrStock, boost, {_half_even('Base', 2)} AS Base_Demand, {_half_even('Final', 2)} AS Final_Demand, {_half_even('Target', 2)} AS Target_Stock FROM plan),
 orders2 AS (SELECT *, greatest(Target_Stock - CurrStock, 0.0e0) AS so FROM plan2),
 orders3 AS (SELECT *, CASE WHEN ABC_Class = 'C' THEN CASE WHEN so > 0 THEN greatest(so, 12.0e0) ELSE 0.0e0 END WHEN so > 6 THEN greatest(so, 12.0e0) ELSE 0.0e0 END AS fo FROM orders2)"""
 )
 
+_PLAN_MODEL = (
+    _PLAN.replace("THEN t.Base ELSE p.Base END", "THEN coalesce(x.Base, t.Base) ELSE p.Base END").replace("LEFT JOIN trail t USING (GoodsID)", "LEFT JOIN trail t USING (GoodsID) LEFT JOIN fit x USING (GoodsID)")
+    .replace(", trail AS", ", " + trend_sql.FIT + ", trail AS")
+)
+
+
+def _plan(sql: str) -> str:
+    return _recursive(W(sql, _PLAN_MODEL))
+
+
 _MOVES = f"""moves AS (SELECT GoodsNo, ChQty, BillDate FROM inbound WHERE MoveTypeID = 1 AND ChQty > 0
   AND BillDate BETWEEN CAST(strftime(DATE '{AS_OF}' - INTERVAL 730 DAY, '%Y%m%d') AS INTEGER) AND CAST(strftime(DATE '{AS_OF}', '%Y%m%d') AS INTEGER))"""
 
@@ -151,8 +166,8 @@ judged1 AS (SELECT *, first_value(CASE WHEN pos AND NOT taken THEN barcode || '/
 judged AS (SELECT file, line, barcode, item_name, product_code, CASE WHEN NOT pos THEN 'not in POS' WHEN taken OR claim <> barcode || '/' || item_name THEN 'code in use' ELSE 'ok' END AS verdict FROM judged1)"""
 
 _PRICES = """prices AS (SELECT Supplier AS supplier, Barcode AS barcode, Name AS item_name, '2' AS qty, CASE WHEN GoodsID%4=0 THEN 'v' ELSE '' END AS "check", ProductCode AS product_code,
-  't0' AS updated_at, 'f0' AS source_file FROM stock WHERE GoodsID%2=0),
-batch AS (SELECT trim(product_code) AS c, arg_min(supplier, (file, line)) AS s, arg_min(barcode, (file, line)) AS b, arg_min(item_name, (file, line)) AS i, CAST(arg_min(qty, (file, line)) AS VARCHAR) AS q
+  't0' AS updated_at, 'f0' AS source_file, '4' AS uc, '1' AS cs, '3' AS rp FROM stock WHERE CurrStock >= 24),
+batch AS (SELECT trim(product_code) AS c, arg_min(supplier, (file, line)) AS s, arg_min(barcode, (file, line)) AS b, arg_min(item_name, (file, line)) AS i, CAST(arg_min(qty, (file, line)) AS VARCHAR) AS q, CAST(arg_min(unit_cost, (file, line)) AS VARCHAR) AS u
   FROM resolved WHERE how IN ('mapping', 'code') GROUP BY 1)"""
 
 _SHEETS = """config AS (SELECT DISTINCT file, CAST(substr(file, 5, 1) AS INTEGER) AS ord FROM receipts WHERE CAST(substr(file, 5, 1) AS INTEGER) < 5),
@@ -210,10 +225,17 @@ ORACLES = {
     "legacy_median6": W("SELECT GoodsID, median(Qty) AS Base FROM ranked WHERE n <= 6 GROUP BY 1", _DENSE),
     "legacy_last_weeks": W("SELECT GoodsID, sum(TotalQty) AS Base FROM (SELECT *, max(rDate) OVER (PARTITION BY GoodsID) AS l FROM daily) WHERE rDate >= l - INTERVAL 28 DAY GROUP BY 1"),
     "c_class_target": W("SELECT GoodsID, round(CASE WHEN coalesce(Mean_Monthly_Qty, 0) <= 0 THEN 0.0e0 WHEN f > 0 AND f <= Mean_Monthly_Qty * 12 THEN f ELSE Mean_Monthly_Qty * 1.2e0 END, 4) AS Target_Stock FROM (SELECT GoodsID, TRY_CAST(FirstOrderQty AS DOUBLE) AS f FROM note) LEFT JOIN xyzc USING (GoodsID)", _MONTHLY + ", " + _XYZ + ", " + _NOTE),
+    "forecast_next_month": _recursive(W("SELECT GoodsID, round(Base, 4) AS Base, 0 AS failed FROM fit", _MONTHLY + ", " + trend_sql.FIT)),
+    "forecast_backtest": _recursive(
+        W("SELECT GoodsID, count(*) AS folds, round(avg(abs(fit - real)), 4) AS mae_fit, round(avg(abs(mean - real)), 4) AS mae_mean FROM tested GROUP BY 1", _MONTHLY + ", " + trend_sql.BACKTEST)
+    ),
     "target_plan": W("SELECT ProductCode, Name, ABC_XYZ, Strategy, CurrStock, Base_Demand, Final_Demand, Target_Stock FROM plan2", _PLAN),
-    "order_suggestion_moq": W("SELECT ProductCode, ABC_XYZ, round(so, 2) AS Suggested_Order, round(fo, 2) AS Final_Order FROM orders3", _PLAN),
-    "plan_summary": W("SELECT count(*) AS n_items, CAST(sum(CASE WHEN so > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_to_order FROM orders3", _PLAN),
-    "plan_upload": W("SELECT ProductCode, CAST(" + _half_even("Base_Demand", 0) + " AS BIGINT) AS Target_Stock FROM plan2", _PLAN),
+    "order_suggestion_moq": _plan("SELECT ProductCode, ABC_XYZ, round(so, 2) AS Suggested_Order, round(fo, 2) AS Final_Order FROM orders3"),
+    "plan_summary": _plan("SELECT count(*) AS n_items, CAST(sum(CASE WHEN so > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_to_order, round(avg(boost), 2) AS mean_boost FROM orders3"),
+    "target_plan_model": _plan("SELECT ProductCode, Name, ABC_XYZ, Strategy, CurrStock, Base_Demand, Final_Demand, Target_Stock FROM plan2"),
+    "order_list_by_class": _plan("SELECT row_number() OVER (ORDER BY ABC_XYZ, so DESC, ProductCode) AS place, ABC_XYZ, ProductCode FROM orders3"),
+    "order_list_by_order": _plan("SELECT row_number() OVER (ORDER BY fo DESC, ProductCode) AS place, ProductCode, round(fo, 2) AS Final_Order FROM orders3"),
+    "plan_upload": _plan("SELECT ProductCode, CAST(" + _half_even("Base_Demand", 0) + " AS BIGINT) AS Target_Stock FROM plan2"),
     "inbound_movements": W("SELECT * FROM moves", _MOVES),
     "min_multiple": W("SELECT * FROM guess", _GUESS),
     "changed_rows": W("SELECT ProductCode AS key, GoodsID, CurrStock FROM stock WHERE GoodsID % 7 = 0 OR GoodsID % 11 = 0"),
@@ -231,10 +253,12 @@ ORACLES = {
   FROM cal c LEFT JOIN ev ON ev.date = c.date WHERE year(c.date) BETWEEN 2023 AND 2025""",
         _CAL,
     ),
-    "plan_by_target": W("SELECT row_number() OVER (ORDER BY Target_Stock DESC, ProductCode) AS place, ProductCode, Target_Stock FROM plan2", _PLAN),
-    "price_list_order": W("SELECT row_number() OVER (ORDER BY supplier, product_code) AS place, supplier, product_code FROM prices", _RESOLVED + ", " + _PRICES),
-    "inbound_order": W("SELECT row_number() OVER (ORDER BY GoodsNo, BillDate, ChQty) AS place, GoodsNo, BillDate, ChQty FROM (SELECT DISTINCT GoodsNo, BillDate, ChQty FROM moves)", _MOVES),
-    "class_order": W("SELECT row_number() OVER (ORDER BY CASE ABC_Class WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 WHEN 'New' THEN 3 ELSE 4 END, GoodsID) AS place, ABC_Class, GoodsID FROM abc", _ABC),
+    "plan_by_target": _plan("SELECT row_number() OVER (ORDER BY Target_Stock DESC, ProductCode) AS place, ProductCode, Target_Stock FROM plan2"),
+    "price_list_order": W("SELECT row_number() OVER (ORDER BY Supplier, ProductCode) AS place, Supplier AS supplier, ProductCode AS product_code FROM stock"),
+    "inbound_order": W("SELECT row_number() OVER (ORDER BY GoodsNo, BillDate, ChQty) AS place, GoodsNo, BillDate, ChQty FROM moves", _MOVES),
+    "class_order": W(
+        "SELECT row_number() OVER (ORDER BY list_position(['New', 'A', 'B', 'C', 'Excluded'], ABC_Class), Monthly_Avg_Profit DESC, GoodsID) AS place, ABC_Class, GoodsID FROM abc", _ABC
+    ),
     "next_prev_holiday": W("SELECT event_id, CAST(h - day AS INTEGER) AS days_ahead, holiday_name, CAST(day - (SELECT max(p.date) FROM holidays p WHERE p.date <= day) AS INTEGER) AS days_since FROM (" + _AS_OF_HOLIDAY + ") a LEFT JOIN holidays ON holidays.date = a.h"),
     "last_purchase": W("SELECT event_id, b.paid FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS paid FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON e.user_id = b.user_id AND e.ts >= b.ts"),
     "weather_features": W(
@@ -262,8 +286,9 @@ w2 AS (SELECT station, date, m, CASE WHEN count(m) OVER s = 7 THEN avg(m) OVER s
     ),
     "price_list_upsert": W(
         """SELECT coalesce(product_code, c) AS product_code, CASE WHEN c IS NOT NULL THEN s ELSE supplier END AS supplier, coalesce(barcode, b) AS barcode, CASE WHEN c IS NOT NULL THEN i ELSE item_name END AS item_name,
-  CASE WHEN c IS NOT NULL THEN q ELSE qty END AS qty, coalesce("check", '') AS "check", CASE WHEN c IS NOT NULL THEN 't1' ELSE updated_at END AS updated_at, CASE WHEN c IS NOT NULL THEN 'f1' ELSE source_file END AS source_file
-  FROM prices FULL JOIN batch ON c = product_code""",
+  CASE WHEN c IS NOT NULL THEN q ELSE qty END AS qty, CASE WHEN c IS NOT NULL THEN u ELSE uc END AS unit_cost,
+  CASE WHEN c IS NOT NULL THEN coalesce(CAST(kc AS VARCHAR), '') ELSE cs END AS curr_stock, CASE WHEN c IS NOT NULL THEN coalesce(CAST(kr AS VARCHAR), '') ELSE rp END AS retail_price, coalesce("check", '') AS "check", CASE WHEN c IS NOT NULL THEN 't1' ELSE updated_at END AS updated_at, CASE WHEN c IS NOT NULL THEN 'f1' ELSE source_file END AS source_file
+  FROM prices FULL JOIN batch ON c = product_code LEFT JOIN (SELECT ProductCode AS kp, CurrStock AS kc, RetailPrice AS kr FROM stock) ON kp = c""",
         _RESOLVED + ", " + _PRICES,
     ),
     "price_list_delta": W("SELECT CAST(sum(CASE WHEN product_code IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS added, CAST(sum(CASE WHEN product_code IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS updated FROM batch LEFT JOIN prices ON c = product_code", _RESOLVED + ", " + _PRICES),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .fixtures import AS_OF, tables
 from .functions import columns as C
 from .operators import classify as K
-from .operators import features, forecast, procurement, publish, receipts, sales, stock, windows
+from .operators import features, forecast, procurement, publish, receipts, sales, stock, trend, windows
 from .sources import tables as sources
 
 
@@ -160,7 +160,11 @@ def legacy_last_weeks(s, d):
 
 
 def forecast_next_month(s, d):
-    return _r(forecast.forecast_next_month(_series(tables(s, d))), "Base")
+    return _r(forecast.forecast_next_month(sales.monthly_sales(tables(s, d)["daily"])), "Base")
+
+
+def forecast_backtest(s, d):
+    return _r(trend.backtest(sales.monthly_sales(tables(s, d)["daily"])), "mae_fit", "mae_mean")
 
 
 def c_class_target(s, d):
@@ -171,50 +175,64 @@ def c_class_target(s, d):
     return rows.select("GoodsID", F.round(C.c_class_target("Mean_Monthly_Qty", "f"), 4).alias("Target_Stock"))
 
 
-def _plan(t, model):
-    return forecast.target_plan(_classes(t), stock.replenishment_view(t["stock"]), t["daily"], model)
+def _plan(t, model=True, boost=False):
+    return forecast.target_plan(_classes(t), stock.replenishment_view(t["stock"]), t["daily"], model, boost=boost)
 
 
 def target_plan(s, d):
-    """The whole plan with a rule in place of the fitted month: the last three months' mean, which SQL can express."""
+    """The plan with the last three months' mean in place of the fitted month."""
     return _plan(tables(s, d), False)
 
 
 def target_plan_model(s, d):
-    return _plan(tables(s, d), True)
+    return _plan(tables(s, d))
 
 
 def plan_by_target(s, d):
     """The plan in order of target stock, the largest first; the place is a column, so that the order is compared."""
-    return publish.ranked(_plan(tables(s, d), False), [F.col("Target_Stock").desc(), F.col("ProductCode")]).select("place", "ProductCode", "Target_Stock")
+    return publish.ranked(_plan(tables(s, d)), [F.col("Target_Stock").desc(), F.col("ProductCode")]).select("place", "ProductCode", "Target_Stock")
 
 
 def price_list_order(s, d):
-    return publish.ranked(_prices(tables(s, d)), [F.col("supplier"), F.col("product_code")]).select("place", "supplier", "product_code")
+    rows = tables(s, d)["stock"].select(F.col("Supplier").alias("supplier"), F.col("ProductCode").alias("product_code"))
+    return publish.ranked(rows, [F.col("supplier"), F.col("product_code")]).select("place", "supplier", "product_code")
 
 
 def inbound_order(s, d):
+    """All movements by item and day; equal ones follow each other."""
     moves = procurement.inbound_movements(tables(s, d)["inbound"], AS_OF)
-    # Equal rows are one, so that the order has no ties.
-    return publish.ranked(moves.distinct(), [F.col("GoodsNo"), F.col("BillDate"), F.col("ChQty")]).select("place", "GoodsNo", "BillDate", "ChQty")
+    return publish.ranked_rows(moves, ["GoodsNo", "BillDate"]).select("place", "GoodsNo", "BillDate", "ChQty")
 
 
 def class_order(s, d):
-    rows = _classes(tables(s, d)).select("ABC_Class", "GoodsID")
-    rank = F.when(F.col("ABC_Class") == "A", 0).when(F.col("ABC_Class") == "B", 1).when(F.col("ABC_Class") == "C", 2).when(F.col("ABC_Class") == "New", 3).otherwise(4)
-    return publish.ranked(rows, [rank, F.col("GoodsID")]).select("place", "ABC_Class", "GoodsID")
+    """New, A, B, C, Excluded; the best monthly profit first, then the item's number."""
+    rows = K.abc_classify(_profit(tables(s, d))).select("ABC_Class", "Monthly_Avg_Profit", "GoodsID")
+    return publish.ranked(rows, [K.class_rank(), F.col("Monthly_Avg_Profit").desc(), F.col("GoodsID")]).select("place", "ABC_Class", "GoodsID")
+
+
+def _orders(t):
+    return forecast.order_suggestion(_plan(t, boost=True))
 
 
 def order_suggestion_moq(s, d):
-    return forecast.order_suggestion(_plan(tables(s, d), False)).select("ProductCode", "ABC_XYZ", F.round("Suggested_Order", 2).alias("Suggested_Order"), F.round("Final_Order", 2).alias("Final_Order"))
+    return _orders(tables(s, d)).select("ProductCode", "ABC_XYZ", F.round("Suggested_Order", 2).alias("Suggested_Order"), F.round("Final_Order", 2).alias("Final_Order"))
+
+
+def order_list_by_class(s, d):
+    """The order list by class, what is missing most first."""
+    return publish.ranked(_orders(tables(s, d)), [F.col("ABC_XYZ"), F.col("Suggested_Order").desc(), F.col("ProductCode")]).select("place", "ABC_XYZ", "ProductCode")
+
+
+def order_list_by_order(s, d):
+    return publish.ranked(_orders(tables(s, d)), [F.col("Final_Order").desc(), F.col("ProductCode")]).select("place", "ProductCode", F.round("Final_Order", 2).alias("Final_Order"))
 
 
 def plan_summary(s, d):
-    return forecast.plan_summary(forecast.order_suggestion(_plan(tables(s, d), False)))
+    return _r(forecast.plan_summary(_orders(tables(s, d))), "mean_boost", places=2)
 
 
 def plan_upload(s, d):
-    return publish.plan_upload_rows(_plan(tables(s, d), False).withColumn("ProductCode", F.concat(F.lit(" "), "ProductCode")))
+    return publish.plan_upload_rows(_plan(tables(s, d)).withColumn("ProductCode", F.concat(F.lit(" "), "ProductCode")))
 
 
 def inbound_movements(s, d):
@@ -352,7 +370,8 @@ def mapping_upsert(s, d):
 
 
 def _prices(t):
-    rows = t["stock"].where("GoodsID % 2 = 0")
+    """A price list of the items with two dozen in stock at least."""
+    rows = t["stock"].where("CurrStock >= 24")
     return rows.select("Supplier", "Barcode", "Name", F.lit("1").alias("cs"), F.lit("2").alias("qty"), F.lit("3").alias("rp"), F.when(F.col("GoodsID") % 4 == 0, "v").otherwise("").alias("check"), "ProductCode", F.lit("4").alias("uc"), F.lit("t0").alias("at"), F.lit("f0").alias("src")).toDF(
         "supplier", "barcode", "item_name", "curr_stock", "qty", "retail_price", "check", "product_code", "unit_cost", "updated_at", "source_file"
     )
@@ -361,7 +380,7 @@ def _prices(t):
 def price_list_upsert(s, d):
     t = tables(s, d)
     out = receipts.upsert_price_list(_prices(t), receipts.matched(_resolved(t)), t["stock"], "t1", "f1")
-    return out.select("product_code", "supplier", "barcode", "item_name", "qty", "check", "updated_at", "source_file")
+    return out.select("product_code", "supplier", "barcode", "item_name", "qty", "unit_cost", "curr_stock", "retail_price", "check", "updated_at", "source_file")
 
 
 def price_list_delta(s, d):
@@ -437,8 +456,8 @@ QUERIES = {
     for f in (
         abc_classification, daily_sales, merge_sales, recent_months, sales_summary, month_age, monthly_sales, dense_monthly_series, stock_master, clean_text,
         note_parse, product_columns, supplier_dim, inventory_health, adjusted_cost_profit, xyz_stats, abc_xyz_full, strategy_labels, class_counts,
-        legacy_abc_v1, legacy_abc_v2, seasonal_index, run_rate_new, trailing_mean, z_peak, legacy_median6, legacy_last_weeks, forecast_next_month, c_class_target,
-        target_plan, target_plan_model, plan_by_target, price_list_order, inbound_order, class_order, order_suggestion_moq, plan_summary, plan_upload, inbound_movements, min_multiple, changed_rows, merge_upsert, changed_classification,
+        legacy_abc_v1, legacy_abc_v2, seasonal_index, run_rate_new, trailing_mean, z_peak, legacy_median6, legacy_last_weeks, forecast_next_month, forecast_backtest, c_class_target,
+        target_plan, target_plan_model, plan_by_target, price_list_order, inbound_order, class_order, order_suggestion_moq, order_list_by_class, order_list_by_order, plan_summary, plan_upload, inbound_movements, min_multiple, changed_rows, merge_upsert, changed_classification,
         changed_min_multiple, doc_ids, calendar_features, next_prev_holiday, last_purchase, weather_features, receipt_clean, resolve_products, barcode_options,
         receipt_summary, reason_counts, pos_import_layout, mapping_verdicts, mapping_upsert, price_list_upsert, price_list_delta, header_discovery, supplier_identify,
         receipt_rows, station_temperature, stream_daily_sales,
