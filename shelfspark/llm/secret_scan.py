@@ -5,8 +5,8 @@ long runs of hex digits. On top, candidate strings (runs of 20 or more character
 of the base-64 alphabet) are slid over by a window of 20 characters. The window's
 Shannon entropy is kept by incremental counts: one character enters, one leaves,
 and the sum of c*log2(c) changes by table look-ups. Windows whose entropy reaches
-the limit of their character class (hex, or mixed letters and digits) are merged
-into ``entropy`` spans, unless the whole candidate is on the allow-list. The
+the limit of their character class (hex, or mixed letters and digits; a candidate
+without a digit or without a letter is of neither and has none) are merged into ``entropy`` spans, unless the whole candidate is on the allow-list. The
 allow-list never removes a base span.
 
 Offsets count code points, ends are exclusive. Null or empty text has no spans;
@@ -31,15 +31,19 @@ HEX = r"[0-9a-f]{24,}"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+#: Runs of windows in one page.
+PAGE = 64
 #: Bits a character from which a window counts as random, by class.
 HEX_BITS, MIXED_BITS = 3.0, 3.8
 
-#: Candidates that are no secrets: UUIDs, sample values, words joined by signs.
+#: Candidates that are no secrets: UUIDs and sample values. A pattern must not repeat a group: matching one recurses
+#: once a repetition, and a long candidate would end the executor.
 ALLOWED = (
     r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
     r".*(?i:example|sample|dummy|placeholder).*",
-    r"(?:[A-Za-z]+|[0-9]{1,4})(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,4}))*[+/_=-]*",
 )
+#: Nor are words and short numbers joined by signs: a candidate is cut at the signs and each part is tested.
+SIGNS, PART = "[+/_=-]+", "^([A-Za-z]+|[0-9]{1,4})$"
 
 
 def _matches(text: str, pattern: str, group: int = 0) -> Column:
@@ -75,21 +79,28 @@ def _entropy_runs(slots: str, limit: str) -> str:
     counts = f"transform(t.c, (c, j) -> c + if(j = k, 1, 0) - if(j <=> {gone}, 1, 0))"
     new = f"(t.i >= {WINDOW - 1} and x.s <= {limit})"
     first = f"t.i - {WINDOW - 1}"
+    # Runs are kept in pages, so that adding one copies a page and not all of them.
+    run, done, full = "named_struct('a', t.a, 'b', t.b)", f"({new} and {first} > t.b and t.b >= 0)", f"(size(t.q) >= {PAGE})"
     merge = (
         f"get(transform(array(named_struct('c', {counts}, 's', {total})), x -> named_struct('c', x.c, 's', x.s, 'i', t.i + 1, "
         f"'a', if({new} and ({first} > t.b), {first}, t.a), 'b', if({new}, t.i + 1, t.b), "
-        f"'r', if({new} and {first} > t.b and t.b >= 0, array_append(t.r, named_struct('a', t.a, 'b', t.b)), t.r))), 0)"
+        f"'q', if({done}, if({full}, array({run}), array_append(t.q, {run})), t.q), "
+        f"'r', if({done} and {full}, array_append(t.r, t.q), t.r))), 0)"
     )
     zero = (
         f"named_struct('c', array_repeat(0, {len(ALPHABET)}), 's', 0L, 'i', 0, 'a', -1, 'b', -1, "
-        "'r', cast(array() as array<struct<a:int,b:int>>))"
+        "'q', cast(array() as array<struct<a:int,b:int>>), 'r', cast(array() as array<array<struct<a:int,b:int>>>))"
     )
-    last = "t -> if(t.b >= 0, array_append(t.r, named_struct('a', t.a, 'b', t.b)), t.r)"
+    last = f"t -> flatten(array_append(t.r, if(t.b >= 0, array_append(t.q, {run}), t.q)))"
     return f"aggregate({slots}, {zero}, (t, k) -> {merge}, {last})"
 
 
-def find_secrets(docs: DataFrame, *keep: str, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
-    """The columns ``keep`` and spans, an array of structs (start, kind, end) by start, then kind."""
+def find_secrets(docs: DataFrame, *keep: str, allowed: tuple[str, ...] = ALLOWED, words: bool = True) -> DataFrame:
+    """The columns ``keep`` and spans, an array of structs (start, kind, end) by start, then kind.
+
+    Candidates that one of the patterns ``allowed`` matches whole have no entropy spans; with ``words``, nor have words
+    and short numbers joined by signs.
+    """
     rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("__t"))
     rows = rows.select(
         *keep,
@@ -114,9 +125,13 @@ def find_secrets(docs: DataFrame, *keep: str, allowed: tuple[str, ...] = ALLOWED
             "x -> x.m rlike '[0-9]' and x.m rlike '[A-Za-z]')"
         ),
     )
-    harmless = F.lit("^(?:" + "|".join(allowed) + ")$")
     if allowed:
+        harmless = F.lit("^(?:" + "|".join(allowed) + ")$")
         tested = tested.withColumn("__c", F.filter("__c", lambda x: ~F.rlike(x["m"], harmless)))
+    if words:
+        parts = f"split(x.m, '{SIGNS}', -1)"
+        plain = f"get({parts}, 0) != '' and forall({parts}, p -> p = '' or p rlike '{PART}')"
+        tested = tested.withColumn("__c", F.expr(f"filter(__c, x -> not ({plain}))"))
     tested = tested.withColumn(
         "__c",
         F.expr(

@@ -9,6 +9,11 @@ from shelfspark.llm import secret_scan as S
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 PATTERNS = (("access", re.compile(r"AKIA[A-Z0-9]+"), 20), ("hex", re.compile(r"[0-9a-f]+"), 24))
+ALLOWED = (
+    r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
+    r".*(?i:example|sample|dummy|placeholder).*",
+    r"(?:[A-Za-z]+|[0-9]{1,4})(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,4}))*[+/_=-]*",
+)
 ORDER = {"assign": 0, "access": 1, "hex": 2, "entropy": 3}
 
 
@@ -23,7 +28,7 @@ def entropy(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
         c = m[0]
-        if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)) or any(re.fullmatch(p, c) for p in S.ALLOWED):
+        if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)) or any(re.fullmatch(p, c) for p in ALLOWED):
             continue
         least = S.HEX_BITS if re.fullmatch("[0-9A-Fa-f]+", c) else S.MIXED_BITS
         for i in range(len(c) - S.WINDOW + 1):

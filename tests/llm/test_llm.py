@@ -89,6 +89,18 @@ def test_secret_query(spark, tmp_path):
     assert by_repr(map(tuple, got.select(*names).collect())) == by_repr(brute_secrets.row(d, t) for d, t in rows)
 
 
+def test_secrets_in_long_candidates(spark):
+    """Slugs, paths and letters of a megabyte, and a long random run with many spans."""
+    r = random.Random(1)
+    texts = ["a-1-" * 250_000 + "!", "ab/12/" * 170_000, "x" * 1_000_000, "-" + "a-1-" * 40, "a-1-" * 5_000 + "12345-b", "word_" * 9 + "7"]
+    texts += ["".join(r.choice("ABCDEabcdefgh01234+/XYZ") for _ in range(30_000)), "token=" + "a1B2" * 250_000]
+    found = secret_scan.find_secrets(make(spark, [(i, t, "s") for i, t in enumerate(texts[:-1])]), "doc_id")
+    got = {x["doc_id"]: ",".join(f"{secret_scan.KINDS[y['kind']]}:{y['start']}:{y['end']}" for y in x["spans"]) for x in found.collect()}
+    assert got == {i: brute_secrets.row(i, t)[5] for i, t in enumerate(texts[:-1])}
+    assert got[6].count("entropy") > secret_scan.PAGE
+    assert secret_scan.find_secrets(make(spark, [(0, texts[-1], "s")]), "doc_id").first()["spans"][0]["end"] == len(texts[-1])
+
+
 @given(st.lists(st.text(alphabet="aB3/ =:token\"", max_size=60), max_size=4))
 @settings(max_examples=10, deadline=None)
 def test_secret_base_property(spark, texts):
