@@ -31,14 +31,23 @@ def rejected_files(lines: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def identify_supplier(headers: DataFrame, config: DataFrame) -> DataFrame:
-    """The first supplier in order whose four header names are all in the file's header; files without one are missing."""
+    """The first supplier in order whose four header names are all in the file's header; files without one are missing.
+
+    An inverted index: a supplier is looked up under the one of its names that fewest suppliers have, so a file meets
+    only suppliers that share such a name with it, and each pair is tested once for the other three.
+    """
     norm = lambda c: F.lower(F.trim(c))
     need = config.select(
         F.struct("ord", *[c for c in config.columns if c != "ord"]).alias("__c"),
-        F.array(*[norm(F.col(c)) for c in ("barcode_col", "price_col", "qty_col", "name_col")]).alias("__need"),
+        F.array_distinct(F.array(*[norm(F.col(c)) for c in ("barcode_col", "price_col", "qty_col", "name_col")])).alias("__need"),
     )
+    names = need.select("__c", "__need", F.explode("__need").alias("__name"))
+    counts = names.groupBy("__name").agg(F.count("*").alias("__n"))
+    rarest = names.join(counts, "__name").groupBy("__c", "__need").agg(F.min(F.struct("__n", "__name")).alias("__r"))
+    index = rarest.select("__c", "__need", F.col("__r.__name").alias("__name"))
     have = headers.withColumn("__have", F.transform("cells", norm))
-    hit = have.join(F.broadcast(need), F.size(F.array_except("__need", "__have")) == 0)
+    words = have.select("file", "line", "cells", "__have", F.explode(F.array_distinct("__have")).alias("__name"))
+    hit = words.join(index, "__name").where(F.size(F.array_except("__need", "__have")) == 0)
     return hit.groupBy("file").agg(F.min("__c").alias("c"), F.min("line").alias("line"), F.min("cells").alias("cells")).select("file", "line", "cells", "c.*")
 
 

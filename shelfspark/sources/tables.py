@@ -1,8 +1,8 @@
-"""Reading and writing tables: JDBC, partitioned sales, CSV, receipt files, temperatures, batched sinks."""
+"""Reading and writing tables: JDBC, partitioned sales, CSV, temperatures."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +10,23 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, partition: tuple[str, int, int, int] | None = None, **options) -> DataFrame:
-    """A query over JDBC; partition is (column, low, high, parts) to read in parallel."""
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
-    if partition:
-        column, low, high, parts = partition
-        reader = reader.option("dbtable", f"({query}) q").option("partitionColumn", column)
-        return reader.option("lowerBound", low).option("upperBound", high).option("numPartitions", parts).load()
-    return reader.option("query", query).load()
+def read_jdbc(spark: SparkSession, url: str, query: str, column: str | None = None, parts: int = 8, since=None, **options) -> DataFrame:
+    """A query over JDBC. With a numeric or date column it is read in parallel, within bounds that one query tells.
+
+    The store sends only the column's least and largest value for the bounds; where all rows have one value or none,
+    one task reads. since, the last value held, keeps the rows from it on; the condition goes to the store.
+    """
+    reader = lambda: spark.read.format("jdbc").option("url", url).options(**options)
+    if since is not None:
+        text = f"'{since}'" if isinstance(since, (str, date)) else str(since)
+        query = f"SELECT * FROM ({query}) held WHERE {column} >= {text}"
+    if not column:
+        return reader().option("query", query).load()
+    low, high = reader().option("query", f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM ({query}) bounds").load().first()
+    if low is None or low == high:
+        return reader().option("query", query).load()
+    split = reader().option("dbtable", f"({query}) parts").option("partitionColumn", column)
+    return split.option("lowerBound", str(low)).option("upperBound", str(high)).option("numPartitions", parts).load()
 
 
 def read_daily_sales(spark: SparkSession, path: str, months: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -31,11 +40,16 @@ def read_daily_sales(spark: SparkSession, path: str, months: list[tuple[str, str
     return df.where(wanted)
 
 
-def write_daily_sales(df: DataFrame, path: str) -> None:
-    """Replace only the months that df has; one shuffle by month keeps files few."""
-    rows = df.select("GoodsID", "rDate", "TotalQty", "TotalAmt", "year", "month").repartition("year", "month")
+def write_daily_sales(df: DataFrame, path: str, most_rows: int = 5_000_000) -> None:
+    """Replace only the months that df has.
+
+    Rows are rebalanced by month: adaptive execution joins light months into a task and splits a heavy one over several
+    by the advisory partition size, so no month waits for one task and light ones make few files. A file has at most
+    most_rows rows.
+    """
+    rows = df.select("GoodsID", "rDate", "TotalQty", "TotalAmt", "year", "month").hint("rebalance", "year", "month")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-    writer.partitionBy("year", "month").parquet(path)
+    writer.option("maxRecordsPerFile", most_rows).partitionBy("year", "month").parquet(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -46,24 +60,6 @@ def write_csv_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
 
 
-def cells_of(text: DataFrame, width: int = 64) -> DataFrame:
-    """file, line and cells (all text) from rows (file, line, value); blank lines go, empty columns at the end too."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = text.where(F.trim("value") != "").withColumn("__c", F.from_csv("value", schema))
-    cells = F.array(*[F.coalesce(F.col(f"__c.c{i}"), F.lit("")) for i in range(width)])
-    size = F.size(F.split("value", ","))
-    rows = parsed.select("file", "line", F.slice(cells, F.lit(1), F.least(size, F.lit(width))).alias("cells"))
-    return rows.where(F.exists("cells", lambda c: F.trim(c) != ""))
-
-
-def read_receipt_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """All supplier files below a folder as file, line, cells; temporary files (~$) are skipped."""
-    whole = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    whole = whole.where(~F.col("file").startswith("~$") & ~F.col("file").startswith("~%24"))
-    lines = whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
-    return cells_of(lines)
-
-
 def supplier_of_file(name: str = "file", marker: str = "_") -> Column:
     """The part of a file's name before a marker."""
     return F.substring_index(F.regexp_extract(F.col(name), r"([^/]+)$", 1), marker, 1)
@@ -86,19 +82,3 @@ def station_temperature(lines: DataFrame) -> DataFrame:
 def read_station_temperature(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.text(path, wholetext=True)
     return station_temperature(whole.select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value")))
-
-
-def batched_sink(df: DataFrame, write_batch: Callable[[list], None], size: int = 400) -> None:
-    """Hand rows to write_batch in lists of at most `size`, on the executors. write_batch must be idempotent by key."""
-
-    def write(rows) -> None:
-        batch = []
-        for row in rows:
-            batch.append(row)
-            if len(batch) == size:
-                write_batch(batch)
-                batch = []
-        if batch:
-            write_batch(batch)
-
-    df.foreachPartition(write)

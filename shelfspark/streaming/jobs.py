@@ -1,13 +1,12 @@
-"""The incremental jobs as Structured Streaming queries."""
+"""Daily sales as Structured Streaming queries."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.publish import changed_rows, merge_upsert
 from ..operators.sales import merge_sales, with_month
-from ..sources.tables import cells_of, read_daily_sales, write_daily_sales
+from ..sources.tables import read_daily_sales, write_daily_sales
 
 
 def stream_daily_sales(stream: DataFrame, key: str = "GoodsID", late: str = "1 day") -> DataFrame:
@@ -36,30 +35,3 @@ def upsert_sales_batch(path: str):
         batch.unpersist()
 
     return write
-
-
-def stream_changed_rows(feed: str, read_state, write_state, read_target, write_target, key: str = "key"):
-    """A foreachBatch writer: changed rows go into the target and their fingerprints into the state.
-
-    The four callables read and write whole tables as DataFrames; a batch that comes again changes nothing.
-    """
-
-    def write(batch: DataFrame, _: int) -> None:
-        state = read_state()
-        changed = changed_rows(batch, state, feed, key=key).persist()
-        write_target(merge_upsert(read_target(), changed.drop("md5"), key))
-        new = changed.select(F.lit(feed).alias("feed"), F.col(key).alias("key"), "md5")
-        kept = state.join(new.select("feed", "key"), ["feed", "key"], "left_anti")
-        write_state(kept.unionByName(new))
-        changed.unpersist()
-
-    return write
-
-
-def stream_receipts(spark: SparkSession, pending: str, processed: str) -> DataFrame:
-    """Receipt lines (file, line, cells) of files as they come; what is done moves to `processed`."""
-    stream = (
-        spark.readStream.format("text").option("wholetext", True).option("cleanSource", "archive").option("sourceArchiveDir", processed).load(pending)
-    )
-    whole = stream.select(F.col("_metadata.file_name").alias("file"), "value").where(~F.col("file").startswith("~$"))
-    return cells_of(whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value")))

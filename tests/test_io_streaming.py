@@ -32,13 +32,6 @@ def test_sync(spark, tmp_path):
     assert pruned.count() == 1 and "PartitionFilters: [" in pruned._jdf.queryExecution().toString()
 
 
-def test_receipt_files(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('title\n\nCode,Name,Qty\n0012,"a, b",3\n,,\n', encoding="utf-8")
-    (tmp_path / "~$a.csv").write_text("x,y\n", encoding="utf-8")
-    rows = sorted((r["file"], r["line"], r["cells"][:2]) for r in tables.read_receipt_lines(spark, str(tmp_path)).collect())
-    assert rows == [("a.csv", 0, ["title"]), ("a.csv", 2, ["Code", "Name"]), ("a.csv", 3, ["0012", "a, b"])]
-
-
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("007", "五金")], "code string, name string")
     tables.write_csv_table(df, str(tmp_path / "t"))
