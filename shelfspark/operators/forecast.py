@@ -39,7 +39,8 @@ def demand_profile(sales: DataFrame) -> DataFrame:
     The array is as long as the history in months. Run rate, recent means, peaks, the fit's series and the categories'
     months all come from it, so daily sales are read and shuffled once.
     """
-    months = sales.groupBy("GoodsID", F.trunc("rDate", "MM").alias("Month")).agg(F.sum("TotalQty").alias("Qty"), F.min("rDate").alias("first"), F.max("rDate").alias("last"))
+    # The same condition for all readers, so that they can share the exchange.
+    months = sales.where("GoodsID is not null").groupBy("GoodsID", F.trunc("rDate", "MM").alias("Month")).agg(F.sum("TotalQty").alias("Qty"), F.min("rDate").alias("first"), F.max("rDate").alias("last"))
     return months.groupBy("GoodsID").agg(F.sort_array(F.collect_list(F.struct("Month", "Qty", "first", "last"))).alias("months"))
 
 

@@ -30,7 +30,7 @@ CHANGES, WAVES = 25, 5
 class Prior:
     """Standard deviations, in units of the series: of a month's noise, of level and slope, of a change of slope, of a wave."""
 
-    noise: float = 0.3
+    noise: float = 0.1
     trend: float = 5.0
     change: float = 0.05
     wave: float = 10.0

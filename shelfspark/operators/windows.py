@@ -60,14 +60,14 @@ def fill_spread(df: DataFrame, key: str, order: list[str], value: str, out: str,
     at = F.struct(*order)
     best = (F.min_by if forward else F.max_by)(value, at)
     ends = mine.where(F.col(value).isNotNull()).groupBy(key, "__range").agg(best.alias("__v"))
-    ends = mine.select(key, "__range").distinct().join(ends.withColumnsRenamed({key: "__k", "__range": "__r"}), F.col(key).eqNullSafe(F.col("__k")) & (F.col("__range") == F.col("__r")), "left")
+    ends = mine.select(key, "__range").distinct().join(ends.withColumnsRenamed({key: "__hot", "__range": "__at"}), F.col(key).eqNullSafe(F.col("__hot")) & (F.col("__range") == F.col("__at")), "left")
     others = Window.partitionBy(key).orderBy("__range")
     carried = F.first("__v", True).over(others.rowsBetween(1, Window.unboundedFollowing)) if forward else F.last("__v", True).over(others.rowsBetween(Window.unboundedPreceding, -1))
-    carry = ends.select(F.col(key).alias("__k"), F.col("__range").alias("__r"), carried.alias("__carry"))
+    carry = ends.select(F.col(key).alias("__hot"), F.col("__range").alias("__at"), carried.alias("__carry"))
     inside = Window.partitionBy("__range", key).orderBy(*order)
     found = F.first(value, True).over(inside.rowsBetween(0, Window.unboundedFollowing)) if forward else F.last(value, True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    rows = placed.withColumn("__in", found).join(F.broadcast(carry), F.col(key).eqNullSafe(F.col("__k")) & (F.col("__range") == F.col("__r")), "left")
-    return rows.withColumn(out, F.coalesce("__in", "__carry")).drop("__range", "__in", "__k", "__r", "__carry")
+    rows = placed.withColumn("__in", found).join(F.broadcast(carry), F.col(key).eqNullSafe(F.col("__hot")) & (F.col("__range") == F.col("__at")), "left")
+    return rows.withColumn(out, F.coalesce("__in", "__carry")).drop("__range", "__in", "__hot", "__at", "__carry")
 
 
 def as_of(facts: DataFrame, events: DataFrame, key: str, at: str, event_at: str, values: list[str], forward: bool = False, spread: bool = False) -> DataFrame:

@@ -64,8 +64,12 @@ def test_prefix_sum_equals_window(spark):
 
 def test_prefix_sum_has_no_single_partition_sort(spark):
     df = spark.range(10).withColumn("v", F.lit(1))
-    plan = windows.prefix_sum(df, [F.col("id").asc()], "v", "s")._jdf.queryExecution().toString()
-    assert "rangepartitioning" in plan.lower()
+    out = windows.prefix_sum(df, [F.col("id").asc()], "v", "s")
+    plan = out._jdf.queryExecution().executedPlan().toString().lower()
+    assert "windowspecdefinition(__range" in plan
+    # Only the sums of the ranges, one row each, come together.
+    assert plan.count("exchange singlepartition") == 1
+    assert sorted((r["id"], r["s"]) for r in out.collect()) == [(i, i + 1) for i in range(10)]
 
 
 def abc_rows(spark, profits):
@@ -100,12 +104,20 @@ def test_z_peak(spark, values, want):
 
 
 def test_forecast_constant_and_season(spark):
-    assert forecast.forecast_next_month(series(spark, [7] * 24)).first()["Base"] == pytest.approx(7, abs=1e-6)
+    assert forecast.forecast_next_month(series(spark, [7] * 24)).first()["Base"] == pytest.approx(7, rel=0.01)
     wave = [10 + 5 * math.sin(2 * math.pi * (i + 1) / 12) for i in range(48)]
     got = forecast.forecast_next_month(series(spark, wave)).first()["Base"]
     assert got == pytest.approx(10 + 5 * math.sin(2 * math.pi * 49 / 12), abs=0.6)
     assert forecast.forecast_next_month(series(spark, [1] * 11)).count() == 0
-    assert forecast.forecast_next_month(series(spark, [3] * 12), fn=lambda q, m: 1 / 0).first()["Base"] == 3
+
+
+def test_forecast_by_a_given_function(spark):
+    """A function that fails, or gives no number, leaves the mean and is counted."""
+    got = forecast.forecast_next_month(series(spark, [3] * 12), fn=lambda q, m: 1 / 0).first()
+    assert (got["Base"], got["failed"]) == (3, 1)
+    got = forecast.forecast_next_month(series(spark, [3] * 12), fn=lambda q, m: float(len(q) + m)).first()
+    assert got["Base"] > 12 and got["failed"] == 0
+    assert forecast.forecast_next_month(series(spark, [3] * 12), fn=lambda q, m: -4.0).first()["Base"] == 0
 
 
 def test_merge_sales_is_idempotent(spark):
