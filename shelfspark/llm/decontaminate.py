@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items and documents are cut into passages of 32 words, every 16 words. Words
-are weighted by idf over all documents (counted by hash in a table of fixed size, so that
+Benchmark items are cut into passages of 8, 16 or 32 words, each half a passage on from the one before, the length by
+the item's own (up to 12 words, up to 24, more), so that a passage is about as long as its item; documents are cut
+into passages of each length that items have. Words are weighted by idf over all documents (counted by hash in a table of fixed size, so that
 it can be broadcast; words that share a place count together). The item passages make a matrix whose leading
 right singular vectors come from a distributed randomised subspace iteration; as many
 are kept as leave each passage ENERGY of its weight. Document
@@ -32,13 +33,14 @@ from .common import free_name, saved, scratch
 from .line_dedup import SIGNS
 from .words import drop_empty, hash_strings, mixed, offsets_of, slices
 
-PASSAGE, STEP = 32, 16
+#: Words of a passage, with the longest items (in words) that are looked up by it.
+CLASSES = ((8, 12), (16, 24), (32, None))
 RANK, BLOCKS_A_PASS = 256, 16
 #: Share of every item passage's squared length that the kept directions hold, at least.
 ENERGY = 0.8
 #: Places of the table of document counts.
 PLACES = 1 << 19
-MIN_COSINE = 0.45
+MIN_COSINE = 0.4
 LCS_SHARE, ANSWER_SHARE = 0.7, 0.5
 
 HITS = "item_id long, cosine double, lcs_share double, answer_share double"
@@ -64,12 +66,12 @@ def lcs_length(item: list[str], other: list[str]) -> int:
     return len(item) - row.bit_count()
 
 
-def match(item: list[str], words: list[str], start: int) -> tuple[float, float]:
-    """Best share of the item found in order in a stretch of words near start, and the share of its answer there."""
+def match(item: list[str], words: list[str], start: int, length: int) -> tuple[float, float]:
+    """For a passage of length words at start: best share of the item found in order in a stretch of words near start, and the share of its answer there."""
     n = len(item)
     span, answer = n + n // 3 + 1, item[-max(1, n // 3) :]
     low = max(0, start - n)
-    high = max(low + 1, min(len(words), start + PASSAGE + n) - span + 1)
+    high = max(low + 1, min(len(words), start + length + n) - span + 1)
     best = (0.0, 0.0)
     for at in range(low, high, max(1, n // 8)):
         stretch = words[at : at + span]
@@ -81,16 +83,16 @@ def match(item: list[str], words: list[str], start: int) -> tuple[float, float]:
 class Space:
     """A block of items: their words, idf weights, passages and, once fitted, the latent basis."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], idf: np.ndarray):
-        """idf: of each place of the table of document counts."""
-        self.items = items
+    def __init__(self, items: list[tuple[int, list[str]]], idf: np.ndarray, length: int = 32):
+        """idf: of each place of the table of document counts. length: words of a passage."""
+        self.items, self.length, step = items, length, length // 2
         self.vocabulary = sorted({w for _, ws in items for w in ws})
         self.place = {w: i for i, w in enumerate(self.vocabulary)}
         self.idf = idf[_places(hash_strings(pa.array(self.vocabulary, pa.string())))]
         self.passages = [
-            (k, at, sorted({self.place[w] for w in ws[at : at + PASSAGE]}))
+            (k, at, sorted({self.place[w] for w in ws[at : at + length]}))
             for k, (_, ws) in enumerate(items)
-            for at in range(0, max(1, len(ws) - STEP), STEP)
+            for at in range(0, max(1, len(ws) - step), step)
         ]
 
     def rows(self) -> list[tuple[list[int], list[float]]]:
@@ -129,30 +131,37 @@ class Space:
                 yield t, int(begin[i] - words.offsets[t]), self.passages[q][0], float(cosine[i, q])
 
 
-class Passages:
-    """Where the passages of texts begin and end, and the squared weight of their different words."""
+class Words:
+    """The words of texts with their weights, and the last place before each where its text has the same word (or -1)."""
 
     def __init__(self, offsets: np.ndarray, hashes: np.ndarray, idf: np.ndarray):
-        self.offsets, n = offsets, np.diff(offsets)
-        each = np.where(n > 0, np.maximum(1, (n - STEP + STEP - 1) // STEP), 0)
-        self.text = np.repeat(np.arange(len(n)), each)
-        self.begin = offsets[:-1][self.text] + STEP * (np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each))
-        self.end = np.minimum(self.begin + PASSAGE, offsets[1:][self.text])
-        # The last place before where the text has the same word; a passage counts a word where that lies before its begin.
-        start = np.repeat(offsets[:-1], n)
-        keys = mixed(hashes ^ mixed(start.astype(np.uint64)))
+        self.offsets, self.start = offsets, np.repeat(offsets[:-1], np.diff(offsets))
+        keys = mixed(hashes ^ mixed(self.start.astype(np.uint64)))
         order = np.argsort(keys, kind="stable")
         same = keys[order[1:]] == keys[order[:-1]]
-        before = np.full(len(keys), -1, np.int64)
-        before[order[1:][same]] = order[:-1][same]
-        half = start + (np.arange(len(keys)) - start) // STEP * STEP
-        self.first, self.second = before < half, before < np.maximum(half - STEP, start)
+        self.before = np.full(len(keys), -1, np.int64)
+        self.before[order[1:][same]] = order[:-1][same]
         self.weight = idf[_places(hashes)].astype(np.float64)
+
+
+class Passages:
+    """Where the passages of one length begin and end, and the squared weight of their different words."""
+
+    def __init__(self, words: Words, length: int):
+        self.offsets, self.weight, n = words.offsets, words.weight, np.diff(words.offsets)
+        self.step = step = length // 2
+        each = np.where(n > 0, np.maximum(1, (n - 1) // step), 0)
+        self.text = np.repeat(np.arange(len(n)), each)
+        self.begin = self.offsets[:-1][self.text] + step * (np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each))
+        self.end = np.minimum(self.begin + length, self.offsets[1:][self.text])
+        # A passage counts a word where the same one before it lies before the passage's begin.
+        half = words.start + (np.arange(len(words.start)) - words.start) // step * step
+        self.first, self.second = words.before < half, words.before < np.maximum(half - step, words.start)
         self.total = self.mass(self.weight**2)
 
     def mass(self, squares: np.ndarray) -> np.ndarray:
         """The sum over each passage's different words: each word lies in the first or the second half of its passages."""
-        middle = np.minimum(self.begin + STEP, self.end)
+        middle = np.minimum(self.begin + self.step, self.end)
         a, b = (np.concatenate([[0.0], np.cumsum(np.where(x, squares, 0.0))]) for x in (self.first, self.second))
         return a[middle] - a[self.begin] + b[self.end] - b[middle]
 
@@ -171,15 +180,16 @@ class Spaces:
         offsets, flat = words_of(texts)
         codes = pc.index_in(flat, value_set=pa.array(self.vocabulary, pa.string()))
         codes = pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
-        passages = Passages(offsets, hash_strings(flat), self.idf)
+        weighed = Words(offsets, hash_strings(flat), self.idf)
+        passages = {length: Passages(weighed, length) for length in {s.length for s in self.spaces}}
         out = []
         for space, own in zip(self.spaces, self.codes, strict=True):
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
             words: dict[int, list[str]] = {}
-            for t, start, k, cosine in space.candidates(own[codes], passages):
+            for t, start, k, cosine in space.candidates(own[codes], passages[space.length]):
                 if t not in words:
                     words = {t: flat[int(offsets[t]) : int(offsets[t + 1])].to_pylist()}
-                share, answer = match(space.items[k][1], words[t], start)
+                share, answer = match(space.items[k][1], words[t], start, space.length)
                 if share >= LCS_SHARE and answer >= ANSWER_SHARE:
                     best[t, k] = max(best.get((t, k), (0.0, 0.0, 0.0)), (share, answer, cosine))
             out += [(t, space.items[k][0], c, s, a) for (t, k), (s, a, c) in sorted(best.items())]
@@ -279,23 +289,27 @@ def fit_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Spaces]:
     """The fitted spaces of the benchmark's blocks, as many together as one pass takes."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    passages = F.greatest(F.lit(1), F.ceil((F.size(F.split("text", r"\s+")) - STEP) / STEP))
-    size = items.agg(F.sum(passages)).first()[0] or 0
-    blocks = max(1, -(-size // RANK))
+    n = F.size(F.split("text", r"\s+"))
+    items = items.withColumn("length", F.coalesce(*[F.when(n <= most, length) for length, most in CLASSES if most], F.lit(CLASSES[-1][0])))
+    step = F.col("length") / 2
+    sizes = items.groupBy("length").agg(F.sum(F.greatest(F.lit(1), F.ceil((n - step) / step))).alias("n")).orderBy("length").collect()
+    blocks = [(r["length"], b, -(-r["n"] // RANK)) for r in sizes for b in range(-(-r["n"] // RANK))]
+    if not blocks:
+        return
     idf = document_idf(docs.select("text"))
     spaces: list[Space] = []
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
+    for k, (length, b, of) in enumerate(blocks):
+        rows = items.where((F.col("length") == length) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(of)) == b)).orderBy("item_id", "text").collect()
         offsets, flat = words_of(pa.array([r["text"] for r in rows], pa.string()))
         flat = flat.to_pylist()
         some = [(r["item_id"], flat[a:z]) for r, a, z in zip(rows, offsets[:-1], offsets[1:], strict=True) if z > a]
         if some:
-            space = Space(some, idf)
+            space = Space(some, idf, length)
             with scratch():
                 matrix = spark.createDataFrame(space.rows(), "place array<int>, value array<float>").repartition(spark.sparkContext.defaultParallelism)
                 space.keep(randomised_basis(saved(matrix, "item-passages"), len(space.vocabulary), len(space.passages)))
             spaces.append(space)
-        if spaces and (len(spaces) == BLOCKS_A_PASS or b == blocks - 1):
+        if spaces and (len(spaces) == BLOCKS_A_PASS or k == len(blocks) - 1):
             yield Spaces(spaces, idf)
             spaces = []
 

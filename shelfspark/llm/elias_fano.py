@@ -41,21 +41,35 @@ class EliasFano:
         )
 
     def select(self, i: int) -> int:
-        """The i-th number, from a sample and a short scan of bytes."""
+        """The i-th number, from a sample and a scan of the bits behind it."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        place, left = int(self.samples[i // SAMPLE]), i % SAMPLE
-        if left:
+        place, left, size = int(self.samples[i // SAMPLE]), i % SAMPLE, 64
+        while left:
             byte = place // 8
-            bits = np.unpackbits(self.high[byte : byte + 1], bitorder="little")
+            bits = np.unpackbits(self.high[byte : byte + size], bitorder="little")
             bits[: place % 8 + 1] = 0
-            while (here := int(bits.sum())) < left:
-                left -= here
-                byte += 1
-                bits = np.unpackbits(self.high[byte : byte + 1], bitorder="little")
-            place = byte * 8 + int(np.flatnonzero(bits)[left - 1])
+            ones = np.flatnonzero(bits)
+            if len(ones) >= left:
+                place, left = byte * 8 + int(ones[left - 1]), 0
+            size *= 4
         return self.base + ((place - i) << self.low_bits | self._low(i))
 
+    def stretch(self, sample: int) -> np.ndarray:
+        """The numbers from one sample to the next: select for SAMPLE of them at once."""
+        first = sample * SAMPLE
+        n = min(SAMPLE, self.n - first)
+        begin = int(self.samples[sample])
+        end = int(self.samples[sample + 1]) if sample + 1 < len(self.samples) else 8 * len(self.high)
+        bits = np.unpackbits(self.high[begin // 8 : (end + 7) // 8], bitorder="little")
+        bits[: begin % 8] = 0
+        x = (np.flatnonzero(bits)[:n] + begin // 8 * 8 - np.arange(first, first + n)).astype(np.int64) << self.low_bits
+        if self.low_bits:
+            low = self.low[first * self.low_bits // 8 : ((first + n) * self.low_bits + 7) // 8]
+            each = np.unpackbits(low, bitorder="little")[: n * self.low_bits].reshape(n, self.low_bits)
+            x |= (each.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+        return x + self.base
+
     def _low(self, i: int) -> int:
         first = i * self.low_bits
         raw = int.from_bytes(self.low[first // 8 : (first + self.low_bits + 7) // 8].tobytes(), "little")
@@ -63,12 +77,7 @@ class EliasFano:
 
     def all(self) -> np.ndarray:
         """Every number in order."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        x = (places - np.arange(self.n)).astype(np.int64) << self.low_bits
-        if self.low_bits:
-            bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            x |= (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
-        return x + self.base
+        return np.concatenate([np.zeros(0, np.int64), *(self.stretch(s) for s in range(len(self.samples)))])
 
     def to_bytes(self) -> bytes:
         head = _HEAD.pack(self.n, self.universe, self.base, self.low_bits)

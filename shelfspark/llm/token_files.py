@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +65,10 @@ class TokenFile:
         """Where the ids of the k-th document begin and end, by select."""
         return self.ends.select(k - 1) if k else 0, self.ends.select(k)
 
+    def spans(self) -> Iterator[np.ndarray]:
+        """The ends of the documents in order, from one select sample to the next."""
+        return (self.ends.stretch(s) for s in range(len(self.ends.samples)))
+
     def ids(self, start: int, end: int) -> np.ndarray:
         return np.frombuffer(self.data, f"<u{self.width}", end - start, self.at + start * self.width)
 
@@ -77,6 +82,8 @@ _WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
 _SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _SEEN)}
 _TABLES: dict[str, PieceTable] = {}
+#: The library's own tokenizer of this worker, and the contents of its added tokens.
+_WHOLE: dict[str, tuple] = {}
 
 
 def worker_table(path: str) -> PieceTable:
@@ -107,11 +114,29 @@ def worker_table(path: str) -> PieceTable:
     return _TABLES[path]
 
 
+def encode_texts(path: str, texts: pa.Array) -> list[np.ndarray]:
+    """The ids of each text, as the library gives them without special tokens added.
+
+    The library cuts a text at the contents of added tokens first; texts that hold one go to it whole.
+    """
+    out = list(worker_table(path)(texts))
+    if path not in _WHOLE:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        _WHOLE[path] = tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    tokenizer, added = _WHOLE[path]
+    for content in added:
+        for i in np.flatnonzero(pc.match_substring(texts, content).to_numpy(zero_copy_only=False)):
+            out[i] = np.array(tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32)
+    return out
+
+
 def _writer(folder: str, path: str, width: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        table, part, n = worker_table(path), TaskContext.get().partitionId(), 0
+        part, n = TaskContext.get().partitionId(), 0
         doc_ids: list = []
         held: list[np.ndarray] = []
         size = 0
@@ -124,7 +149,7 @@ def _writer(folder: str, path: str, width: int):
             )
 
         for batch in slices(batches):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), table(batch.column(1)), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(path, batch.column(1)), strict=True):
                 doc_ids.append(doc_id)
                 held.append(np.append(ids, np.uint32(END_ID)))
                 size += len(held[-1])
@@ -158,13 +183,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             f = TokenFile(data.as_buffer())
-            ends = f.ends.all()
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            crcs = [zlib.crc32(f.ids(a, b).astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([path.rpartition("/")[2]] * f.n_docs), pa.array(f.doc_ids(), pa.int64()), pa.array(starts), pa.array(ends - starts), pa.array(crcs, pa.int64())],
-                names=["file", "doc_id", "inside", "n_tokens", "ids_crc32"],
-            )
+            name, doc_ids, last = path.rpartition("/")[2], f.doc_ids(), 0
+            for ends in f.spans():
+                starts, n = np.concatenate([[last], ends[:-1]]), len(ends)
+                crcs = [zlib.crc32(f.ids(a, b).astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                mine, doc_ids, last = doc_ids[:n], doc_ids[n:], int(ends[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * n), pa.array(mine, pa.int64()), pa.array(starts), pa.array(ends - starts), pa.array(crcs, pa.int64())],
+                    names=["file", "doc_id", "inside", "n_tokens", "ids_crc32"],
+                )
 
 
 def read_tokens(spark: SparkSession, folder: str, made: DataFrame) -> DataFrame:
