@@ -34,7 +34,7 @@ BROADCAST_BITS = 1 << 28
 BITS_A_LEVEL, PLACES = 12, 4
 MIX = 0.5
 #: Training tokens to a segment, text bytes to a block.
-SEGMENT_TOKENS, BLOCK_BYTES = 500_000, 8 << 20
+SEGMENT_TOKENS, BLOCK_BYTES = 1_000_000, 8 << 20
 
 _END = np.uint64(0xE4D0C8F15A3B7921)
 _NEXT, _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
@@ -166,12 +166,14 @@ def _asker(top: int):
             put = pack_counts if k else np.ndarray.tobytes
             return [put(out[name][k][a:b]) for a, b in zip(cuts[name][:-1], cuts[name][1:], strict=True)]
 
-        n = 1 << top
+        # A segment of which the block has nothing gets no row, so there are never more rows than n-grams.
+        some = np.flatnonzero((np.diff(cuts["word"]) > 0) | (np.diff(cuts["gram"]) > 0))
+        sent = {f"{name}{end}": pieces(name, k) for name in ("word", "gram") for k, end in ((0, "s"), (1, "_counts"))}
         return pa.table(
             {
-                "segment": pa.array(np.arange(n, dtype=np.int32)),
-                "block": pa.array([key[0].as_py()] * n, pa.int64()),
-                **{f"{name}{end}": pa.array(pieces(name, k), pa.binary()) for name in ("word", "gram") for k, end in ((0, "s"), (1, "_counts"))},
+                "segment": pa.array(some.astype(np.int32)),
+                "block": pa.array([key[0].as_py()] * len(some), pa.int64()),
+                **{name: pa.array([parts[i] for i in some], pa.binary()) for name, parts in sent.items()},
             }
         )
 
