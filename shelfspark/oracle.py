@@ -261,6 +261,8 @@ ORACLES = {
     ),
     "next_prev_holiday": W("SELECT event_id, CAST(h - day AS INTEGER) AS days_ahead, holiday_name, CAST(day - (SELECT max(p.date) FROM holidays p WHERE p.date <= day) AS INTEGER) AS days_since FROM (" + _AS_OF_HOLIDAY + ") a LEFT JOIN holidays ON holidays.date = a.h"),
     "last_purchase": W("SELECT event_id, b.paid FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS paid FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON e.user_id = b.user_id AND e.ts >= b.ts"),
+    "last_purchase_spread": W("SELECT event_id, b.paid FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS paid FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON e.user_id = b.user_id AND e.ts >= b.ts"),
+    "publish_changes": W("SELECT ProductCode AS key, Name, CurrStock FROM stock"),
     "weather_features": W(
         """SELECT station, date, first_value(m IGNORE NULLS) OVER f AS mean_temp, round(first_value(ma IGNORE NULLS) OVER f, 4) AS temp_ma_7, round(first_value(df IGNORE NULLS) OVER f, 4) AS temp_diff
   FROM (SELECT * FROM w2 WHERE date BETWEEN DATE '2024-01-03' AND DATE '2024-01-28') WINDOW f AS (PARTITION BY station ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .fixtures import AS_OF, tables
 from .functions import columns as C
 from .operators import classify as K
 from .operators import features, forecast, procurement, publish, receipts, sales, stock, trend, windows
+from .sources import buckets
 from .sources import tables as sources
+from .stable import checkpoint_dir
+
+PUBLISHED = "key string, Name string, CurrStock double"
 
 
 def _r(df, *names, places=4):
@@ -256,6 +262,16 @@ def changed_rows(s, d):
     return _changed(tables(s, d)).select("key", "GoodsID", "CurrStock")
 
 
+def publish_changes(s, d):
+    """The bucketed target after an older stock and then today's were published by fingerprint."""
+    now = publish.product_key(tables(s, d)["stock"]).select("key", "Name", "CurrStock")
+    older = now.withColumn("CurrStock", F.when(F.length("Name") % 3 == 0, F.col("CurrStock") + 1).otherwise(F.col("CurrStock")))
+    folder = f"{checkpoint_dir(s)}/publish-{uuid.uuid4().hex}"
+    for df in (older, now):
+        buckets.publish_changes(s, df, "products", ["Name", "CurrStock"], f"{folder}/target", f"{folder}/state", PUBLISHED)
+    return buckets.read_buckets(s, f"{folder}/target", PUBLISHED)
+
+
 def merge_upsert(s, d):
     t = tables(s, d)
     target = publish.product_key(t["stock"]).where("GoodsID % 11 <> 0").select("key", "Name", "CurrStock", "Note")
@@ -310,6 +326,13 @@ def last_purchase(s, d):
     return windows.as_of(ev.select("event_id", "user_id", "ts"), bought, "user_id", "ts", "bought_at", ["paid"]).select("event_id", "paid")
 
 
+def last_purchase_spread(s, d):
+    """The same look-up by ranges of user and time, for tables in which one user may hold a large share."""
+    ev = tables(s, d)["events"]
+    bought = ev.where("event_type = 'purchase'").groupBy("user_id", F.col("ts").alias("bought_at")).agg(F.max("value").alias("paid"))
+    return windows.as_of(ev.select("event_id", "user_id", "ts"), bought, "user_id", "ts", "bought_at", ["paid"], spread=True).select("event_id", "paid")
+
+
 def weather_features(s, d):
     """Daily means of the events' value by event type, every fifth day missing, as stations' temperatures."""
     ev = tables(s, d)["events"]
@@ -457,8 +480,8 @@ QUERIES = {
         abc_classification, daily_sales, merge_sales, recent_months, sales_summary, month_age, monthly_sales, dense_monthly_series, stock_master, clean_text,
         note_parse, product_columns, supplier_dim, inventory_health, adjusted_cost_profit, xyz_stats, abc_xyz_full, strategy_labels, class_counts,
         legacy_abc_v1, legacy_abc_v2, seasonal_index, run_rate_new, trailing_mean, z_peak, legacy_median6, legacy_last_weeks, forecast_next_month, forecast_backtest, c_class_target,
-        target_plan, target_plan_model, plan_by_target, price_list_order, inbound_order, class_order, order_suggestion_moq, order_list_by_class, order_list_by_order, plan_summary, plan_upload, inbound_movements, min_multiple, changed_rows, merge_upsert, changed_classification,
-        changed_min_multiple, doc_ids, calendar_features, next_prev_holiday, last_purchase, weather_features, receipt_clean, resolve_products, barcode_options,
+        target_plan, target_plan_model, plan_by_target, price_list_order, inbound_order, class_order, order_suggestion_moq, order_list_by_class, order_list_by_order, plan_summary, plan_upload, inbound_movements, min_multiple, changed_rows, merge_upsert, publish_changes, changed_classification,
+        changed_min_multiple, doc_ids, calendar_features, next_prev_holiday, last_purchase, last_purchase_spread, weather_features, receipt_clean, resolve_products, barcode_options,
         receipt_summary, reason_counts, pos_import_layout, mapping_verdicts, mapping_upsert, price_list_upsert, price_list_delta, header_discovery, supplier_identify,
         receipt_rows, station_temperature, stream_daily_sales,
     )
