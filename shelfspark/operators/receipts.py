@@ -160,13 +160,11 @@ def judge_mapping(mapping: DataFrame, manual: DataFrame, stock: DataFrame) -> Da
     rows = rows.where("barcode <> '' and lower(barcode) <> 'nan' and item_name <> ''")
     codes = stock.select(clean_code("ProductCode").alias("product_code")).distinct().withColumn("__pos", F.lit(1))
     rows = rows.join(codes, "product_code", "left")
-    owner = mapping.groupBy(strip("product_code").alias("product_code")).agg(
-        F.min(F.struct("ord", clean_code("barcode").alias("b"), strip("item_name").alias("n"))).alias("__o"),
-        F.collect_set(F.struct(clean_code("barcode").alias("b"), strip("item_name").alias("n"))).alias("__all"),
-    )
-    rows = rows.join(owner, "product_code", "left")
+    given = mapping.select(strip("product_code").alias("product_code"), clean_code("barcode").alias("barcode"), strip("item_name").alias("item_name")).distinct()
+    rows = rows.join(given.select("product_code").distinct().withColumn("__used", F.lit(1)), "product_code", "left")
+    rows = rows.join(given.withColumn("__mine", F.lit(1)), ["product_code", "barcode", "item_name"], "left")
     me = F.struct(F.col("barcode").alias("b"), F.col("item_name").alias("n"))
-    taken = F.col("__o").isNotNull() & ~F.array_contains("__all", me)
+    taken = F.col("__used").isNotNull() & F.col("__mine").isNull()
     open_ = F.col("__pos").isNotNull() & ~taken
     w = Window.partitionBy("product_code").orderBy("file", "line").rowsBetween(Window.unboundedPreceding, 0)
     claim = F.first(F.when(open_, me), ignorenulls=True).over(w)

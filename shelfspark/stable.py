@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder is set only where the session names none, as in tests."""
+    """The session's ``spark.checkpoint.dir``; where it names none, a local folder on one machine, as in tests, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
     if not spark.sparkContext.getCheckpointDir():
