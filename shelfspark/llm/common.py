@@ -21,11 +21,13 @@ SPACES = r"[\x20\x09-\x0D]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a local one is made and set.
+    Only where the session names none and runs on one machine, as in tests, a local one is made and set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
+    if not found and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(found)
