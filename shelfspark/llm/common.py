@@ -9,6 +9,7 @@ import uuid
 import weakref
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +43,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 _SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders of saved tables, and the tables that each open ``scratch`` holds.
 _FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-_OPEN: list[list[DataFrame]] = []
+_OPEN: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("open", default=())
 
 
 def saved(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
@@ -61,7 +62,7 @@ def saved(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
         spark.conf.set(_SHUFFLES_GO, before)
     table = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[table] = path
-    owners = _OPEN[:-1] if outer else _OPEN
+    owners = _OPEN.get()[:-1] if outer else _OPEN.get()
     if owners:
         owners[-1].append(table)
     return table
@@ -78,12 +79,14 @@ def discard(*tables: DataFrame) -> None:
 
 @contextmanager
 def scratch() -> Iterator[None]:
-    """Tables that are saved inside are deleted at the end."""
-    _OPEN.append([])
+    """Tables that are saved inside, in this thread, are deleted at the end."""
+    mine: list[DataFrame] = []
+    before = _OPEN.set((*_OPEN.get(), mine))
     try:
         yield
     finally:
-        discard(*_OPEN.pop())
+        _OPEN.reset(before)
+        discard(*mine)
 
 
 def doc_key() -> Column:
