@@ -36,8 +36,8 @@ SIMILARITY = 0.9
 PAIR_KEYS, PAIR_ROWS = 12, 4
 RUN_KEYS, RUN_ROWS = 16, 5
 SHORT = 64
-#: Keys from which pairs of lines are tested before those that share fewer.
-STRONG = 3
+#: SimHash bits by which two lines under a key may differ in each step of tests: like lines first, at last all.
+STEPS = (4, 7, 10, 64)
 #: Bins into which the characters of a line are counted.
 BINS = 32
 #: Signs that are cut from the ends of words.
@@ -324,12 +324,15 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
             moved = F.aggregate(F.zip_with(x("counts"), y("counts"), lambda m, n: F.abs(m - n)), F.lit(0), lambda a, n: a + n)
             return moved + F.abs(x("chars") - y("chars")) <= 2 * ((1 - SIMILARITY) * F.greatest(x("chars"), y("chars")) + 1e-9)
 
+        def bits(x, y):
+            return F.bit_count(x("sim").bitwiseXOR(y("sim")))
+
         def verify(pairs: DataFrame) -> DataFrame:
             full = pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
             full = full.join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
             return saved(full.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"), "line-links")
 
-        roots = link(rows, ["sim"], "sim", may, verify, STRONG, texts.select("node", "counts"), may_far)
+        roots = link(rows, ["sim"], "sim", may, verify, bits, STEPS, texts.select("node", "counts"), may_far)
         # A null doc_id sorts after every number.
         spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
         nodes = lines.groupBy("node").agg(F.min(spot).alias("first"), F.count("*").alias("copies"))

@@ -4,7 +4,7 @@ Rows (key, node, ...) say that a node has a key; nodes that share a key may be l
 ``link`` first tests each node against two others under each key only, the one before
 it in an order that puts like nodes side by side and the weightiest one, and joins
 what is linked into components. Then the pairs under a key whose nodes are still in different components are tested;
-where nodes carry their keys, those that share several of them come first, since what they link saves others the test.
+with steps, the likelier ones of these come first, since what they link saves others the test.
 No pair that could join two components is left out, and a large group of copies costs
 a chain, not the square of its size. Sides are broadcast only where Spark finds them small at run time.
 """
@@ -71,7 +71,8 @@ def link(
     weight: str,
     may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     verify: Callable[[DataFrame], DataFrame],
-    strong: int = 0,
+    gap: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
+    steps: tuple[int, ...] = (),
     about: DataFrame | None = None,
     may_far: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
@@ -81,10 +82,10 @@ def link(
     put like nodes side by side, one for each round in which neighbours are tested; a round joins groups, so that the next
     and the last step have fewer pairs left. weight: column whose largest value makes a key's hub. may(x, y): a
     filter on two rows of a key; x and y give a column by name. verify: keeps the linked ones of
-    distinct pairs (a, b), as a saved table. strong: if above 0, a node has so few keys that each of its rows can
-    carry them all; a pair then comes from the first key that both share, and not from each of them, and
-    pairs that share at least so many keys are tested before the others. about: a table (node, ...) of further
-    columns for may_far, a filter as may on the pairs that are no neighbours.
+    distinct pairs (a, b), as a saved table. gap and steps: a number of two rows that tells how unlike they are, and
+    its largest value in each step of the pairs that are no neighbours; the last step must take all pairs. With steps a node has so
+    few keys that each of its rows can carry them; a pair then comes from the first key that both share, and not from each
+    of them. about: a table (node, ...) of further columns for may_far, a filter as may on the pairs that are no neighbours.
     """
     rest = [c for c in rows.columns if c != "key"]
     tried = links = None
@@ -103,42 +104,70 @@ def link(
         found = verify(pairs)
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        open_ = saved(_open(rows, links), "open-keys")
+        roots = components(links)
+        open_ = saved(_open(rows, roots), "open-keys")
 
+    if not steps:
+        last = saved(_far(open_, _on(may)).join(tried, ["a", "b"], "left_anti"), "far-pairs")
+        return components(links.unionByName(verify(last)))
     if about is not None:
         open_ = open_.join(about, "node")
-    if strong:
-        own = open_.groupBy("node").agg(F.collect_set("key").alias("own"))
-        held = saved(open_.join(own, "node"), "open-keys")
-        first = saved(_far(held, may, may_far, strong).join(tried, ["a", "b"], "left_anti"), "strong-pairs")
-        links, tried = links.unionByName(verify(first)), tried.unionByName(first)
-        open_ = saved(_open(held.drop("root"), links), "open-keys")
-    last = saved(_far(open_, may, may_far, min(strong, 1)).join(tried, ["a", "b"], "left_anti"), "far-pairs")
-    return components(links.unionByName(verify(last)))
-
-
-def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    own = open_.groupBy("node").agg(F.collect_set("key").alias("own"))
+    open_ = open_.join(own, "node").withColumn("less", F.expr("filter(own, k -> k < key)")).drop("own")
+    open_ = saved(_topped(open_), "open-keys")
+    for k, most in enumerate(steps):
+        step = _on(may) & (_on(gap) <= most)
+        if k:
+            step = step & (_on(gap) > steps[k - 1])
+        step = step & ~F.arrays_overlap("x.less", "y.less")
+        if may_far is not None:
+            step = step & _on(may_far)
+        pairs = saved(_far(open_, step).join(tried, ["a", "b"], "left_anti"), "far-pairs")
+        roots = _merged(roots, verify(pairs))
+        discard(pairs)
+        if k + 1 < len(steps):
+            fewer = saved(_topped(_open(open_.drop("root", "top"), roots)), "open-keys")
+            discard(open_)
+            open_ = fewer
+    return roots
+
+
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows, with their nodes' roots, of keys whose nodes are in different components."""
-    named = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The only pair of a key with two nodes is tested already.
     many = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
     return named.join(many.where("lo <> hi and n > 2").select("key"), "key")
 
 
-def _far(rows: DataFrame, may, may_far, least: int) -> DataFrame:
-    """Distinct pairs (a, b) under a key that are in different components and share at least so many keys; 0: keys are not counted."""
-    apart = (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node")) & _on(may)
-    if least:
-        rows = rows.withColumn("less", F.expr("filter(own, k -> k < key)"))
-        apart = apart & ~F.arrays_overlap("x.less", "y.less")
-    if least > 1:
-        # As a lambda; the code that array_intersect makes is too long for the JVM to compile.
-        apart = apart & (F.size(F.filter("x.own", lambda k: F.array_contains("y.own", k))) >= least)
-    if may_far is not None:
-        apart = apart & _on(may_far)
+def _topped(rows: DataFrame) -> DataFrame:
+    """The rows, and whether theirs is the root that most nodes of the key have: two such rows are no pair."""
+    most = rows.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
+    return rows.join(most, "key").withColumn("top", F.col("root") == F.col("most")).drop("most")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots with the components joined that links (a, b) join, as a saved table; rounds are made over the components linked only."""
+    for end in ("a", "b"):
+        links = links.join(roots.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left")
+        links = links.withColumn(end, F.coalesce("r", end)).drop("r")
+    joined = components(links)
+    moved = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
+    moved = moved.select("node", F.coalesce("new", "root").alias("root"))
+    # Nodes that had no link before are in joined alone.
+    found = saved(moved.unionByName(joined.join(roots, "node", "left_anti")), "roots")
+    discard(joined, roots)
+    return found
+
+
+def _far(rows: DataFrame, may: Column) -> DataFrame:
+    """Distinct pairs (a, b) under a key that are in different components and pass the filter of x and y."""
     packed = rows.select("key", F.struct(*[c for c in rows.columns if c != "key"]).alias("y"))
+    others, once = packed, F.col("x.node") < F.col("y.node")
+    if "top" in rows.columns:
+        others, once = packed.where("not y.top"), once | F.col("y.top")
     # The filter stands in the join, so that a pair that fails it never becomes a row.
-    return _ends(packed.join(packed.withColumnRenamed("y", "x"), "key").where(apart))
+    return _ends(packed.join(others.withColumnRenamed("y", "x"), "key").where((F.col("x.root") != F.col("y.root")) & once & may))
 
 
 def _on(may) -> Column:
