@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import worker_tables
 from .pieces import PieceTable
 from .words import slices
 
@@ -185,15 +186,13 @@ class Editable:
         self.text, self.ends, self.last = text, ends, last
 
 
-_ENCODERS: dict[tuple[str, str], tuple[PrefixEncoder, PieceTable]] = {}
-
-
 def worker_encoder(path: str, pattern: str) -> tuple[PrefixEncoder, PieceTable]:
     """The encoder of this Python worker, with the pieces it has met."""
-    if (path, pattern) not in _ENCODERS:
+    encoders = worker_tables("bpe")
+    if (path, pattern) not in encoders:
         encoder = PrefixEncoder(read_ranks(path), pattern)
-        _ENCODERS[path, pattern] = encoder, PieceTable(encoder.encode_many)
-    return _ENCODERS[path, pattern]
+        encoders[path, pattern] = encoder, PieceTable(encoder.encode_many)
+    return encoders[path, pattern]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:

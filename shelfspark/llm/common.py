@@ -124,6 +124,17 @@ class BitTable:
         return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def worker_tables(owner: str) -> dict:
+    """What a Python worker keeps from task to task for one operator. Workers serve all operators in turn, so what others kept goes."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = {}
+    return _KEPT[owner]
+
+
 _SHIPPED: set[str] = set()
 
 

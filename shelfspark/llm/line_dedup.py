@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BitTable, doc_key, free_name, saved, scratch
+from .common import BitTable, doc_key, free_name, saved, scratch, worker_tables
 from .linking import link, shared
 from .words import drop_empty, hash_strings, mixed, offsets_of, slices, sums
 
@@ -40,6 +40,8 @@ SHORT = 64
 STEPS = (4, 7, 10, 64)
 #: Bins into which the characters of a line are counted.
 BINS = 32
+#: Text bytes that a worker takes at once.
+SLICE_BYTES = 1 << 20
 #: Signs that are cut from the ends of words.
 SIGNS = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`^@"
 LINES = "doc long, doc_id long, line int, node long, sim long, words string, chars int, keys array<long>"
@@ -136,8 +138,9 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc, doc_id, line, node and sim of every line with words; its words, characters and keys where the task meets it first."""
+    worker_tables("lines")
     seen: set[int] = set()
-    for batch in slices(batches):
+    for batch in slices(batches, limit=SLICE_BYTES):
         per_doc, offsets, words = _lines(batch.column(2))
         docs = np.repeat(np.arange(batch.num_rows), np.diff(per_doc))
         line = np.arange(len(docs)) - np.repeat(per_doc[:-1], np.diff(per_doc))
@@ -184,7 +187,8 @@ def _counts(texts: pa.Array) -> pa.Array:
 def _among(table: BitTable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows whose node may be in the table, with their counts of characters."""
-        for batch in slices(batches, "words"):
+        worker_tables("lines")
+        for batch in slices(batches, "words", SLICE_BYTES):
             batch = batch.filter(pa.array(table.has(batch.column(0).to_numpy())))
             yield pa.RecordBatch.from_arrays([*batch.columns, _counts(batch.column(1))], names=["node", "words", "counts"])
 
@@ -218,8 +222,8 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
-#: Cells of a table that are worked on at once, and the distance from which a pair is taken alone.
-CELLS, FAR = 1 << 16, 500
+#: Cells of a table and letters of lines that are worked on at once, and the distance from which a pair is taken alone.
+CELLS, LETTERS, FAR = 1 << 16, 1 << 20, 500
 
 
 def alike(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarray:
@@ -248,6 +252,7 @@ def alike(xs: list[str], ys: list[str], least: float = SIMILARITY) -> np.ndarray
     while rest:
         # Distances grow with lengths, so the last of the first pairs bounds how many go together.
         n = max(1, min(len(rest), CELLS // (2 * max(r[3] for r in rest[: CELLS // 64]) + 1)))
+        n = max(1, min(n, LETTERS // max(1, len(rest[n - 1][1]))))
         some, rest = rest[:n], rest[n:]
         good[[r[0] for r in some]] = _within([r[1] for r in some], [r[2] for r in some], np.array([r[3] for r in some]))
     return good
@@ -296,7 +301,8 @@ def _within(xs: list[np.ndarray], ys: list[np.ndarray], most: np.ndarray) -> np.
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    worker_tables("lines")
+    for batch in slices(batches, "x", SLICE_BYTES):
         a, b, x, y = batch.columns
         kept = pa.array(alike(x.to_pylist(), y.to_pylist()))
         yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])

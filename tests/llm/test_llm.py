@@ -394,6 +394,28 @@ def test_pipeline_columns(spark, tmp_path):
     assert out.count() == df.count() and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_workers_keep_one_operators_tables():
+    """A worker that goes on to lines drops the tables of byte-level BPE; else both stay in an executor's memory."""
+    common.worker_tables("bpe")["ranks"] = [1]
+    assert common.worker_tables("bpe") == {"ranks": [1]}
+    assert list(line_dedup._describe(iter([]))) == []
+    assert common.worker_tables("lines") == {} and common.worker_tables("bpe") == {}
+
+
+def test_letters_of_one_table_are_bounded(monkeypatch):
+    """One long line among very many short ones does not widen the rows of all."""
+    seen, within = [], line_dedup._within
+
+    def noted(xs, ys, most):
+        seen.append(len(xs) * max(map(len, xs)))
+        return within(xs, ys, most)
+
+    monkeypatch.setattr(line_dedup, "_within", noted)
+    xs, ys = ["ab cd efghijklmnopq"] * 1100 + ["b" + "x" * 4900 + "c"], ["bcdefghijklmnopqrst"] * 1100 + ["x y" + "x" * 4897 + "dd"]
+    assert line_dedup.alike(xs, ys).tolist() == [False] * 1100 + [True]
+    assert seen and max(seen) <= line_dedup.LETTERS
+
+
 def test_lines_with_a_changed_letter_meet(spark):
     """At least 0.9 of lines of every length and their copies with one other letter are one group."""
     r = random.Random(11)
